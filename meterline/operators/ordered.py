@@ -78,11 +78,11 @@ def running_sum_before(
     borders = cut.groupBy(CHUNK).agg(F.min(key).alias("first_key"), F.max(key).alias("last_key"))
     # A key in two chunks ends one and starts the next: at most two such keys per chunk.
     crossing = borders.select(
-        F.explode(F.array_distinct(F.array("first_key", "last_key"))).alias("_key")
+        F.explode(F.array_distinct(F.array("first_key", "last_key"))).alias("_border_key")
     ).distinct()
     totals = (
         cut.withColumn("_key", key)
-        .join(F.broadcast(crossing), F.col("_key").eqNullSafe(crossing["_key"]), "left_semi")
+        .join(F.broadcast(crossing), F.col("_key").eqNullSafe(F.col("_border_key")), "left_semi")
         .groupBy("_key", CHUNK)
         .agg(F.sum(amount).alias("_total"))
     )
