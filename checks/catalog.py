@@ -20,7 +20,7 @@ from meterline.functions.rules import broken_rules, trip_rules
 from meterline.operators import columns as cols
 from meterline.operators import lineage, schema
 from meterline.operators.clean import clean, drop_copies, quarantine_split, reject_report
-from meterline.operators.joins import decode_by_join, join_zones, orphan_keys, star_join, star_split
+from meterline.operators.joins import decode_by_join, fits_broadcast, join_zones, orphan_keys, star_join, star_split
 from meterline.operators.profile import column_profile, columns_with_values, output_statistics, table_checks
 from meterline.operators.sample import preview, top_per_group
 from meterline.operators.union import union_by_name
@@ -75,7 +75,8 @@ def green(spark: SparkSession, folder: str, *more: str) -> DataFrame:
 
 def silver(spark: SparkSession, folder: str) -> DataFrame:
     """Both feeds through all steps; the feeds break the contract on purpose, so it is not enforced."""
-    base = Context(zones=shape_zones(zone_feed(spark, folder)), check=unchecked)
+    zones = shape_zones(zone_feed(spark, folder))
+    base = Context(zones=zones, broadcast_zones=fits_broadcast(zones), check=unchecked)
     feeds = [(yellow_feed, YELLOW_STEM), (green_feed, GREEN_STEM)]
     return union_by_name([run_steps(feed(spark, folder), base.having(stem=stem)) for feed, stem in feeds])
 

@@ -18,14 +18,14 @@ GREEN_STEM = "green_tripdata_1997-01"
 YELLOW = [
     """CASE CAST(round(l_tax * 100) AS BIGINT) WHEN 0 THEN 1 WHEN 3 THEN 2 WHEN 4 THEN 2 WHEN 5 THEN 200
        ELSE CAST(round(l_tax * 100) AS BIGINT) END AS VendorID""",
-    "l_shipdate + make_dt_interval(0, 0, 0, l_partkey * 40 + l_suppkey * 7) AS tpep_pickup_datetime",
-    """l_shipdate + make_dt_interval(0, 0, 0, l_partkey * 40 + l_suppkey * 7) +
-       CASE WHEN l_linenumber = 4 AND l_returnflag = 'R' THEN make_dt_interval(0, 0, 0, 0.5)
-            WHEN l_linenumber = 4 AND l_returnflag = 'A' THEN make_dt_interval(0, 12, 0, 0)
-            WHEN l_linenumber = 3 AND l_returnflag = 'A' THEN make_dt_interval(0, 12, 0, 1)
+    "timestampadd(SECOND, l_partkey * 40 + l_suppkey * 7, l_shipdate) AS tpep_pickup_datetime",
+    """timestampadd(MICROSECOND, 1000000 * (l_partkey * 40 + l_suppkey * 7) +
+       CASE WHEN l_linenumber = 4 AND l_returnflag = 'R' THEN 500000
+            WHEN l_linenumber = 4 AND l_returnflag = 'A' THEN 1000000L * 43200
+            WHEN l_linenumber = 3 AND l_returnflag = 'A' THEN 1000000L * 43201
             WHEN l_linenumber = 3 AND l_returnflag = 'R' AND l_linestatus = 'O' THEN NULL
-            WHEN l_linenumber = 2 AND l_returnflag = 'R' AND l_quantity > 45 THEN make_dt_interval(0, 0, -1, 0)
-            ELSE make_dt_interval(0, 0, CAST(l_quantity AS INT), 0) END AS tpep_dropoff_datetime""",
+            WHEN l_linenumber = 2 AND l_returnflag = 'R' AND l_quantity > 45 THEN -1000000L * 60
+            ELSE 1000000L * 60 * CAST(l_quantity AS BIGINT) END, l_shipdate) AS tpep_dropoff_datetime""",
     """CASE WHEN l_quantity = 13 THEN NULL WHEN l_returnflag = 'N' THEN l_linenumber + CAST(0.7 AS DOUBLE)
        ELSE CAST(l_linenumber AS DOUBLE) END AS passenger_count""",
     """CASE WHEN l_quantity = 17 THEN NULL WHEN l_tax = CAST(0.08 AS DOUBLE) THEN CAST(0 AS DOUBLE)
@@ -48,9 +48,9 @@ YELLOW = [
 
 GREEN = [
     "CASE o_orderstatus WHEN 'O' THEN 1 WHEN 'F' THEN 2 ELSE 6 END AS VendorID",
-    "o_orderdate + make_dt_interval(0, 0, 0, o_custkey * 50) AS lpep_pickup_datetime",
-    """o_orderdate + make_dt_interval(0, 0, 0, o_custkey * 50) +
-       make_dt_interval(0, 0, 10 * CAST(left(o_orderpriority, 1) AS INT), 0) AS lpep_dropoff_datetime""",
+    "timestampadd(SECOND, o_custkey * 50, o_orderdate) AS lpep_pickup_datetime",
+    """timestampadd(SECOND, o_custkey * 50 + 600 * CAST(left(o_orderpriority, 1) AS INT), o_orderdate)
+       AS lpep_dropoff_datetime""",
     "CAST(left(o_orderpriority, 1) AS DOUBLE) AS passenger_count",
     "o_totalprice / CAST(100000 AS DOUBLE) AS trip_distance",
     """CAST(CASE WHEN o_orderstatus = 'P' AND left(o_orderpriority, 1) = '3' THEN 99
