@@ -7,6 +7,8 @@ rule is written once. A NULL rule means "cannot tell" and does not keep a row.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -54,7 +56,15 @@ def holds(rule: Column) -> Column:
     return F.coalesce(rule, F.lit(False))
 
 
+def all_hold(rules: Rules) -> Column:
+    return holds(reduce(lambda kept, rule: kept & rule, rules.values(), F.lit(True)))
+
+
 def broken_rules(rules: Rules) -> Column:
-    """Names of the rules a row breaks, in rule order."""
-    marks = [F.when(~holds(rule), F.lit(name)) for name, rule in rules.items()]
-    return F.filter(F.array(*marks), lambda name: name.isNotNull())
+    """Names of the rules a row breaks, in rule order; names hold no comma.
+
+    Built as text first, because text stays in generated code and a lambda over
+    an array does not.
+    """
+    names = F.concat_ws(",", *(F.when(~holds(rule), F.lit(name)) for name, rule in rules.items()))
+    return F.when(names == "", F.array().cast("array<string>")).otherwise(F.split(names, ","))

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterline.functions.rules import Rules, broken_rules
+from meterline.functions.rules import Rules, all_hold, broken_rules, holds
 
 
 def keep_rows(df: DataFrame, rules: Rules) -> DataFrame:
@@ -29,24 +29,17 @@ def clean(df: DataFrame, rules: Rules, dropped: tuple[str, ...] = ()) -> DataFra
     return drop_copies(keep_rows(df, rules)).drop(*dropped)
 
 
-def with_broken_rules(df: DataFrame, rules: Rules, column: str = "broken") -> DataFrame:
-    return drop_copies(df).withColumn(column, broken_rules(rules))
-
-
 def quarantine_split(df: DataFrame, rules: Rules, column: str = "broken") -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected): together exactly the distinct input rows.
 
     Rejected rows carry the names of the rules they break.
     """
-    accepted = drop_copies(keep_rows(df, rules))
-    marked = df.withColumn(column, broken_rules(rules)).filter(F.size(column) > 0)
-    return accepted, drop_copies(marked)
+    rejected = drop_copies(df.filter(~all_hold(rules)))
+    return drop_copies(keep_rows(df, rules)), rejected.withColumn(column, broken_rules(rules))
 
 
 def reject_report(df: DataFrame, rules: Rules) -> DataFrame:
     """Distinct rows per broken rule; a row that breaks two rules counts in both."""
-    _, rejected = quarantine_split(df, rules)
-    per_rule = rejected.agg(
-        *(F.count_if(F.array_contains("broken", name)).alias(name) for name in rules)
-    )
+    rejected = drop_copies(df.filter(~all_hold(rules)))
+    per_rule = rejected.agg(*(F.count_if(~holds(rule)).alias(name) for name, rule in rules.items()))
     return per_rule.unpivot([], list(rules), "rule", "rejected_rows")
