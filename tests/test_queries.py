@@ -1,0 +1,25 @@
+import pytest
+
+import __spark_entry__ as driver
+from checks.compare import difference, duck
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def connection():
+    return duck(FOLDER)
+
+
+def test_every_query_has_its_sql():
+    assert set(driver.queries()) == set(driver.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(driver.queries()))
+def test_query_equals_sql(spark, connection, name):
+    got = driver.queries()[name](spark, FOLDER).toPandas()
+    assert difference(got, connection.execute(driver.oracle_sql()[name]).df()) is None
+
+
+def test_entry(spark):
+    assert driver.entry(spark).columns == ["month", "avg_total_amount"]
