@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterline.session import scratch_path
+from meterline.session import scratch_path, shuffle_partitions
 
 CHUNK = "_chunk"
 
@@ -26,10 +26,11 @@ def cut_in_order(
 ) -> DataFrame:
     """The rows with a chunk number; chunks follow each other in (keys, order).
 
-    ``keys`` and ``order`` together should tell any two rows apart.
+    ``keys`` and ``order`` together should tell any two rows apart. All columns
+    given are written to scratch, so pass a narrow frame.
     """
     spark = df.sparkSession
-    n = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = chunks or shuffle_partitions(spark)
     ranged = df.repartitionByRange(n, *keys, *order).withColumn(CHUNK, F.spark_partition_id())
     path = scratch_path(spark, "ordered")
     ranged.write.parquet(path)

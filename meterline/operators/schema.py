@@ -11,22 +11,20 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meterline.functions.lookups import text_literal
 from meterline.operators.columns import non_null_counts
 
 
 def schema_table(df: DataFrame, dictionary: Mapping[str, str] | None = None) -> DataFrame:
     """One row per column: name, position, type, description, number of values."""
-    fields = [
-        F.struct(
-            F.lit(f.name).alias("column_name"),
-            F.lit(position).alias("position"),
-            F.lit(f.dataType.simpleString()).alias("type"),
-            F.lit((dictionary or {}).get(f.name, f.metadata.get("comment"))).cast("string").alias("description"),
-            F.col(f"`{f.name}`").alias("n_values"),
-        )
+    rows = [
+        f"struct({text_literal(f.name)} AS column_name, {position} AS position, "
+        f"{text_literal(f.dataType.simpleString())} AS type, "
+        f"{text_literal((dictionary or {}).get(f.name, f.metadata.get('comment')))} AS description, "
+        f"`{f.name}` AS n_values)"
         for position, f in enumerate(df.schema.fields, start=1)
     ]
-    return non_null_counts(df).select(F.explode(F.array(*fields)).alias("c")).select("c.*")
+    return non_null_counts(df).selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def data_dictionary(tables: Mapping[str, DataFrame], dictionary: Mapping[str, str] | None = None) -> DataFrame:

@@ -124,21 +124,13 @@ def violations(
     df: DataFrame, contract: Contract, by: Sequence[str] = (), only_failed: bool = False
 ) -> DataFrame:
     """One row per check (and per group of ``by``) with its number of failures."""
-    counts = check_counts(df, contract)
-    aggs = [agg.cast("bigint").alias(f"c{i}") for i, (_, _, agg) in enumerate(counts)]
-    rows = F.explode(
-        F.array(
-            *(
-                F.struct(
-                    F.lit(rule).alias("rule"),
-                    F.lit(column).alias("column_name"),
-                    F.col(f"c{i}").alias("failures"),
-                )
-                for i, (rule, column, _) in enumerate(counts)
-            )
-        )
-    )
-    report = df.groupBy(*by).agg(*aggs).select(*by, rows.alias("v")).select(*by, "v.*")
+    names, aggs = [], []
+    for rule, column, agg in check_counts(df, contract):
+        names.append(f"{rule}|{column}")
+        aggs.append(agg.cast("bigint").alias(names[-1]))
+    long = df.groupBy(*by).agg(*aggs).unpivot(list(by), [f"`{n}`" for n in names], "check", "failures")
+    check = F.split("check", r"\|", 2)
+    report = long.select(*by, check[0].alias("rule"), check[1].alias("column_name"), "failures")
     schema_rows = schema_violations(df, contract)
     if schema_rows:
         extra = df.sparkSession.createDataFrame(schema_rows, VIOLATIONS)

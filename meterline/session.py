@@ -41,6 +41,24 @@ def get_spark(app_name: str = "meterline", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int, partition_bytes: int = 128 * 1024 * 1024) -> int:
+    """Let shuffles start with enough partitions for an input of this size.
+
+    AQE joins partitions that turn out small but never splits those of an
+    aggregate, so the starting number must fit the data: 100 TB in 128 MB
+    pieces are about 800,000, of which at most 100,000 are used.
+    """
+    wanted = min(-(-input_bytes // partition_bytes), 100_000)
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
+    return partitions
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    fallback = spark.conf.get("spark.sql.shuffle.partitions")
+    return int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or fallback)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

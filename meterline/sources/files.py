@@ -14,10 +14,15 @@ def file_table(spark: SparkSession, root: str, pattern: str = "*.parquet") -> Da
     )
 
 
+def discover(spark: SparkSession, pattern: str) -> tuple[list[str], int]:
+    """Sorted paths matching a glob, and their bytes. Sorting fixes the column
+    order of later unions."""
+    found = spark.read.format("binaryFile").load(pattern).select("path", "length").collect()
+    return sorted(row["path"] for row in found), sum(row["length"] for row in found)
+
+
 def list_files(spark: SparkSession, pattern: str) -> list[str]:
-    """Sorted paths matching a glob. Sorting fixes the column order of later unions."""
-    found = spark.read.format("binaryFile").load(pattern).select("path").collect()
-    return sorted(row["path"] for row in found)
+    return discover(spark, pattern)[0]
 
 
 def file_attributes(files: DataFrame, path: str = "path") -> DataFrame:
