@@ -75,3 +75,16 @@ def test_speed_is_null_without_elapsed_seconds(spark):
         "UNION ALL SELECT timestamp'2023-01-01 00:00:00', timestamp'2023-01-01 00:30:00', 10.0D"
     )
     assert [r.mph for r in cols.add_speed(df, "a", "b", "m").collect()] == [None, 20.0]
+
+
+def test_fitting_cast_equals_try_cast(spark):
+    numbers = "127.0D, 127.9D, 128.0D, -128.9D, -129.0D, 1.7D, -0.9D, double('NaN'), double('Infinity'), 1e300D, NULL"
+    longs = "127L, 128L, -128L, -129L, 9223372036854775807L, NULL"
+    for kind in ("tinyint", "smallint", "int"):
+        for source, values in (("double", numbers), ("bigint", longs)):
+            df = spark.sql(f"SELECT explode(array({values})) AS v").withColumn("w", F.col("v"))
+            df = cols.cast_types(df.withColumn("x", F.col("v").try_cast(kind)), {"w": kind})
+            assert dict(df.dtypes)["v"] == source and dict(df.dtypes)["w"] == kind
+            assert df.filter(~F.col("w").eqNullSafe(F.col("x"))).count() == 0
+    text = cols.cast_types(spark.createDataFrame([("12",), ("x",)], "w string"), {"w": "int"})
+    assert [r.w for r in text.collect()] == [12, None]

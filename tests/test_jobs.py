@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from meterline.operators.columns import add_calendar
 from meterline.operators.validate import trip_contract
 from meterline.plans.steps import DEFAULT_STEPS, REGISTRY, Context, resolve, run_steps, step
+from meterline.operators.lineage import failures, invalid_transitions, run_tree
+from meterline.plans.logged import run_logged
 from meterline.plans.trips import run_job, run_pipeline
 from meterline.sources.files import file_attributes, file_table, list_files, restore
 from meterline.sources.sinks import write_checked, write_csv, write_partitioned
@@ -166,3 +168,25 @@ def test_checked_write_replaces_the_table(spark, tmp_path):
         trips = add_calendar(run_steps(yellow(spark, row), context, names), "pickup_datetime")
         assert write_checked(trips, path, trip_contract()) == 1
     assert spark.read.parquet(path).count() == 1
+
+
+def test_logged_runs(spark, raw, tmp_path):
+    folder, paths = raw
+    log_path = str(tmp_path / "log")
+    silver = run_logged(spark, paths, zone_lookup=zones(spark), job="etl", log=log_path)
+    assert silver.count() == 4 and "_source" not in silver.columns
+    log = spark.read.parquet(log_path)
+    assert log.count() == 2 + len(paths) * (2 + 2 * len(DEFAULT_STEPS))
+    assert invalid_transitions(log).count() == 0
+    done = log.filter("job_namespace = 'run_steps' AND event_type = 'COMPLETE'").collect()
+    assert {r.job_name.rsplit("/", 1)[1]: r.row_count for r in done} == {
+        "green_tripdata_2023-01.parquet": 1, "yellow_tripdata_2023-01.parquet": 2, "yellow_tripdata_2023-02.parquet": 1,
+    }
+    assert run_tree(log).filter("depth = 2").count() == len(paths) * len(DEFAULT_STEPS)
+
+    bad = write_file(yellow(spark, yellow_row(VendorID=5)), folder, "yellow_tripdata_2023-09")
+    with pytest.raises(ValueError):
+        run_logged(spark, [*paths, bad], zone_lookup=zones(spark), job="second", log=log_path)
+    failed = failures(spark.read.parquet(log_path)).collect()
+    assert {r.job_namespace for r in failed} == {"meterline", "run_steps", "step"}
+    assert all("vendor_id" in r.error_message and "run_pipeline" in r.stack_trace for r in failed)

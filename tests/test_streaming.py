@@ -14,7 +14,7 @@ class Lake:
         self.spark, self.root = spark, root
         self.landing = root / "landing"
         (self.landing / "sub").mkdir(parents=True)
-        self.loader = BatchLoader(spark, zones(spark), f"{root}/silver", f"{root}/dead", Context())
+        self.loader = BatchLoader(spark, zones(spark), f"{root}/silver", f"{root}/dead", Context(), f"{root}/log")
 
     def run(self, **limits):
         stream = landing_files(self.spark, str(self.landing), **limits)
@@ -79,6 +79,10 @@ def test_bad_files_go_to_the_dead_letter_and_the_rest_is_loaded(lake):
         "yellow_tripdata_2023-06.parquet": "contract",
         "yellow_tripdata_2023-07.parquet": "failed",
     }
+    log = lake.spark.read.parquet(f"{lake.root}/log")
+    ends = log.filter("job_namespace = 'run_steps' AND event_type <> 'START'").groupBy("event_type").count()
+    assert {r.event_type: r["count"] for r in ends.collect()} == {"COMPLETE": 3, "FAIL": 4}
+    assert log.filter("event_type = 'COMPLETE' AND job_namespace = 'run_steps'").agg(F.sum("row_count")).first()[0] == 4
     assert lake.silver().count() == 4
 
 
