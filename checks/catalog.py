@@ -545,7 +545,7 @@ def run_failures(spark, folder):
 
 @query
 def run_log_validity(spark, folder):
-    log = _order_log(spark, folder)
+    log = _order_log(spark, folder).select("run_id", "event_time", "seq", "event_type", "job_namespace")
     late = log.filter((F.col("job_namespace") == "run_steps") & (F.col("event_type") == "COMPLETE")).withColumns(
         {"event_type": F.lit("RUNNING"), "seq": F.col("seq") + 1}
     )

@@ -7,6 +7,7 @@ one row per file, so they cost a listing and no data scan.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
@@ -88,7 +89,14 @@ def within_retention(df: DataFrame, ts: str, now: Column, days: int = RETENTION_
 
 
 def _folder(partition: Row, by: Sequence[str]) -> str:
-    return "/".join(f"{column}={partition[column]}" for column in by)
+    """The folder of a partition, with values spelled the way Spark writes them."""
+
+    def spell(value) -> str:
+        if value is None:
+            return "__HIVE_DEFAULT_PARTITION__"
+        return re.sub(r"""["#%'*/:=?\\{\[\]^\x00-\x1f\x7f]""", lambda m: f"%{ord(m[0]):02X}", str(value))
+
+    return "/".join(f"{column}={spell(partition[column])}" for column in by)
 
 
 def compact_partition(

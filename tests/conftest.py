@@ -16,6 +16,7 @@ def spark():
         **{
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
+            "spark.sql.codegen.wholeStage": "false",  # compiling costs more than a few rows do
             "spark.ui.showConsoleProgress": "false",
         },
     )

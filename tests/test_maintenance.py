@@ -92,3 +92,13 @@ def test_retention_of_rows(spark):
     df = spark.sql("SELECT timestamp'2024-01-01' ts UNION ALL SELECT timestamp'2024-02-10'")
     now = F.lit("2024-02-15").cast("timestamp")
     assert within_retention(df, "ts", now).count() == 1
+
+
+def test_odd_partition_values(spark, tmp_path):
+    root = str(tmp_path / "t")
+    df = spark.createDataFrame([(1, "a:b"), (2, None), (3, "c/d 50%"), (4, "plain")], "id int, place string")
+    df.write.partitionBy("place").parquet(root)
+    report = compact(spark, root, file_table(spark, root), ["place"])
+    assert [r.status for r in report.collect()] == ["compacted"] * 4
+    after = {(r.id, r.place) for r in spark.read.parquet(root).collect()}
+    assert after == {(1, "a:b"), (2, None), (3, "c/d 50%"), (4, "plain")}
