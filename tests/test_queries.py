@@ -1,7 +1,9 @@
 import pytest
 
 import __spark_entry__ as driver
+from checks.catalog import QUERIES
 from checks.compare import difference, duck
+from checks.oracle import ORACLE
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -12,13 +14,13 @@ def connection():
 
 
 def test_every_query_has_its_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, connection, name):
-    got = driver.queries()[name](spark, FOLDER).toPandas()
-    assert difference(got, connection.execute(driver.oracle_sql()[name]).df()) is None
+    got = QUERIES[name](spark, FOLDER).toPandas()
+    assert difference(got, connection.execute(ORACLE[name]).df()) is None
 
 
 def test_entry(spark):
