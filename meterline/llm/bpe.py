@@ -143,8 +143,7 @@ class TextEncoder:
 
     def __init__(self, encode_all):
         self.encode_all = encode_all
-        self.kept: dict[str, bytes] = {}
-        self.line_end = self._bytes("\n")
+        self.kept: dict[str, bytes] = {"\n": self._bytes("\n")}
 
     def _bytes(self, text: str) -> bytes:
         return np.asarray(self.encode_all([text])[0], dtype="<u4").tobytes()
@@ -153,25 +152,25 @@ class TextEncoder:
         """The ids as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
-        out: list[bytes] = []
-        for number, line in enumerate(text.split("\n")):
-            words = line.split(" ")
-            if not all(words):  # empty line, or a run of spaces
+        words: list[str] = []
+        for line in text.split("\n"):
+            cut = line.split(" ")
+            if not all(cut):  # an empty line, or a run of spaces
                 return self._bytes(text)
-            words[1:] = map(" ".__add__, words[1:])
-            got = list(map(self.kept.get, words))
-            if None in got:
-                missing = list(dict.fromkeys(w for w, ids in zip(words, got) if ids is None))
-                if any(any(map(str.isspace, w[w[0] == " " :])) for w in missing):
-                    return self._bytes(text)
-                found = dict(zip(missing, (np.asarray(x, dtype="<u4").tobytes() for x in self.encode_all(missing))))
-                if len(self.kept) < REMEMBERED:
-                    self.kept.update(found)
-                got = [found[w] if ids is None else ids for w, ids in zip(words, got)]
-            if number:
-                out.append(self.line_end)
-            out += got
-        return b"".join(out)
+            cut[1:] = map(" ".__add__, cut[1:])
+            words += cut
+            words.append("\n")
+        words.pop()
+        got = list(map(self.kept.get, words))
+        if None in got:
+            missing = list(dict.fromkeys(w for w, ids in zip(words, got) if ids is None))
+            if any(any(map(str.isspace, w[w[0] == " " :])) for w in missing):
+                return self._bytes(text)
+            found = dict(zip(missing, (np.asarray(x, dtype="<u4").tobytes() for x in self.encode_all(missing))))
+            if len(self.kept) < REMEMBERED:
+                self.kept.update(found)
+            got = [found[w] if ids is None else ids for w, ids in zip(words, got)]
+        return b"".join(got)
 
 
 def rank_encoder(ranks: dict[bytes, int], pattern: str) -> TextEncoder:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from meterline.llm import queries_bpe
+from meterline.llm import queries_bpe, queries_planes
 
-_MODULES = (queries_bpe,)
+_MODULES = (queries_bpe, queries_planes)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in _MODULES for name, sql in module.ORACLE.items()}

@@ -35,5 +35,5 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 def block_count(df: DataFrame, bytes_a_block: int) -> int:
     """How many blocks of about this size the input makes, by the plan's own estimate of its size."""
     plan = df._jdf.queryExecution().optimizedPlan()
-    size = int(plan.stats().sizeInBytes().toString())
+    size = int(str(plan.stats().sizeInBytes()))
     return max(1, min(1_000_000, -(-size // bytes_a_block)))
