@@ -94,7 +94,7 @@ def library_encoder(vocabulary: str) -> TextEncoder:
     tokenizer = Tokenizer.from_str(vocabulary)
     tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
     batch = getattr(tokenizer, "encode_batch_fast", tokenizer.encode_batch)
-    return TextEncoder(lambda words: [x.ids for x in batch(words, add_special_tokens=False)])
+    return TextEncoder(lambda words: [np.array(x.ids, dtype="<u4").tobytes() for x in batch(words, add_special_tokens=False)])
 
 
 def write_ids(
@@ -129,8 +129,8 @@ def write_ids(
             piece = pa.struct([("doc_id", batch.schema.field("doc_id").type), ("begin", pa.int64()), ("n_tokens", pa.int64()), ("offset", pa.int64()), ("length", pa.int32())])
             schema = pa.schema([("shard", pa.int32()), ("chunk", pa.int32()), ("n_ids", pa.int32()), ("unit", pa.string()), ("planes", pa.list_(pa.binary())), ("pieces", pa.list_(piece))])
             for part in in_portions(batch, "text"):
-                for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist()):
-                    ids = np.concatenate([np.frombuffer(encoder.ids(text), dtype="<u4"), end])
+                for doc_id, packed in zip(part.column("doc_id").to_pylist(), encoder.many(part.column("text").to_pylist())):
+                    ids = np.concatenate([np.frombuffer(packed, dtype="<u4"), end])
                     yield from map(batch_of, chunks.add(doc_id, ids))
         if chunks.filled:
             yield batch_of(chunks.close())

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm.bpe import decode, encode
+from meterline.llm.bpe import encode
 from meterline.llm.common import read_table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -23,9 +23,8 @@ def digests(encoded: DataFrame) -> DataFrame:
 
 
 def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    ranks = public_tokenizers.path(RANKS)
-    ids = encode(read_table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
-    return digests(decode(ids, ranks))
+    docs = read_table(spark, folder, "documents")
+    return digests(encode(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, with_decoded=True))
 
 
 QUERIES = {"op3_bpe": op3_bpe}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from meterline.llm.bpe import decode, encode
+from meterline.llm.bpe import encode
 from meterline.llm.queries_bpe import RANKS, digests
 
 DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
@@ -13,5 +13,4 @@ DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document's token ids, their number, and digests of the ids and of what they decode to."""
-    ranks = public_tokenizers.path(RANKS)
-    return digests(decode(encode(docs, ranks, public_tokenizers.PATTERN), ranks))
+    return digests(encode(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, with_decoded=True))

@@ -54,8 +54,17 @@ def test_queue_pops_by_rank_then_position():
 def test_random_texts_equal_the_public_library():
     rng, encoder = random.Random(2), rank_encoder(RANKS, public_tokenizers.PATTERN)
     texts = ODD + ["".join(rng.choice("ab c\n\t 'és1. ") for _ in range(rng.randrange(60))) for _ in range(1500)]
-    for text in texts:
-        assert np.frombuffer(encoder.ids(text), "<u4").tolist() == PUBLIC.encode_ordinary(text), repr(text)
+    for text, ids in zip(texts, encoder.many(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == PUBLIC.encode_ordinary(text), repr(text)
+
+
+def test_side_by_side_equals_one_by_one():
+    rng, merger = random.Random(3), Merger(RANKS)
+    pieces = ["".join(rng.choice("abcdethxn-é") for _ in range(rng.randrange(1, 40))).encode() for _ in range(3000)] + [b"aaaaaaaaaaaaaaaaaaaa", b"abababababab"]
+    for piece, ids in zip(pieces, merger.encode_all(pieces)):
+        assert PUBLIC.decode_bytes(np.frombuffer(ids, "<u4").tolist()) == piece
+        if piece not in RANKS:
+            assert np.frombuffer(ids, "<u4").tolist() == merger.encode(piece)
 
 
 def test_long_pretoken():
@@ -67,5 +76,6 @@ def test_long_pretoken():
 def test_frames(spark, rows):
     docs = spark.createDataFrame([(i, t, "c", [1]) for i, t in rows], "doc_id long, text string, ids string, decoded array<int>")
     got = decode(encode(docs, PATH, public_tokenizers.PATTERN), PATH).collect()
+    assert sorted(encode(docs, PATH, public_tokenizers.PATTERN, with_decoded=True).collect(), key=str) == sorted(got, key=str)
     want = sorted(((i, PUBLIC.encode_ordinary(t or ""), (t or "").encode()) for i, t in rows), key=lambda x: (str(x[0]), x[2]))
     assert sorted(((r.doc_id, list(r.ids), bytes(r.decoded)) for r in got), key=lambda x: (str(x[0]), x[2])) == want
