@@ -7,17 +7,16 @@ from pyspark.sql import functions as F
 
 from meterline.llm.common import read_table
 from meterline.llm.secrets import RULES, scan
-from meterline.llm.spans import written
+from meterline.llm.spans import number_of, written
 
 
 def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
     found = scan(read_table(spark, folder, "documents"))
     base = F.filter("spans", lambda s: s["base"])
-    counts = [F.size(F.filter("spans", lambda s, k=r.kind: s["kind"] == k)).cast("long").alias(f"n_{r.kind}") for r in RULES if r.base]
     order = ("start", "place")
     return found.select(
         "doc_id",
-        *counts,
+        *(number_of(F.col("spans"), r.kind) for r in RULES if r.base),
         F.sha2(written(base, order).cast("binary"), 256).alias("base_sha256"),
         written(F.col("spans"), order).alias("spans"),
     )

@@ -33,3 +33,7 @@ def written(spans: Column, order: tuple[str, ...]) -> Column:
     """``kind:start:end`` joined by commas; ``order`` names the fields of a span to sort by."""
     keyed = F.array_sort(F.transform(spans, lambda s: F.struct(*(s[k].alias(f"by_{k}") for k in order), s["kind"], s["start"], s["end"])))
     return F.array_join(F.transform(keyed, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def number_of(spans: Column, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
