@@ -1,16 +1,62 @@
-"""The stages of the corpus pipeline: each is one operator whose decisions take effect on the documents."""
+"""The stages of the corpus pipeline: each is one operator whose decisions take effect on the documents.
+
+All but the last return the columns of documents, and rows that they keep
+unchanged but for what the operator itself changes.
+"""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from meterline.llm import decontaminate, jaccard
 from meterline.llm.bpe import encode
+from meterline.llm.common import read_table, stored
 from meterline.llm.queries_bpe import RANKS, digests
+from meterline.llm.queries_quality import ACCEPTED, folds
+from meterline.llm.quality import fit_and_score
+from meterline.llm.secrets import redact, scan
 
 DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
+#: Near copies: shingles of five words, 0.8 alike.
+NEAR_COPIES = jaccard.Measure(words=5, percent=80)
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the quality classifier, fitted on the labelled ones among them, accepts.
+
+    Rows with equal ids and different texts go or stay by the best of them.
+    """
+    _, learn, calibrate = folds()
+    scored = fit_and_score(docs, read_table(spark, sf_dir, "labels"), "quality", learn, calibrate)
+    best = scored.groupBy(F.col("doc_id").alias("scored_id")).agg(F.max("score").alias("score"))
+    kept = best.where(F.col("score") >= ACCEPTED).select("scored_id")
+    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("scored_id")), "left_semi").select(*DOCUMENT)
+
+
+def keep_one_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near copies, that with the smallest id; repeated rows once; documents without an id all."""
+    linked = stored(jaccard.link(docs, NEAR_COPIES).where("doc_id = component_id").select("doc_id").distinct(), "kept")
+    chosen = docs.join(linked, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return chosen.unionByName(docs.where("doc_id IS NULL")).select(*DOCUMENT)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that hold no item of the benchmark."""
+    return decontaminate.decontaminate(docs, read_table(spark, sf_dir, "benchmark")).select(*DOCUMENT)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with secrets replaced by a mark; the length follows the text, which stays null where it was."""
+    found = scan(docs).where(F.size("spans") > 0)
+    clean = found.select(F.col("doc_id").alias("found_id"), F.col("text").alias("found_text"), redact(F.col("text"), F.col("spans")).alias("clean")).distinct()
+    same = docs["doc_id"].eqNullSafe(F.col("found_id")) & (docs["text"] == F.col("found_text"))
+    joined = docs.join(clean, same, "left")
+    length = F.when(F.col("clean").isNotNull(), F.length("clean").cast("long")).otherwise(F.col("n_chars"))
+    return joined.select("doc_id", F.coalesce("clean", "text").alias("text"), "lang", "source", length.alias("n_chars"))
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document's token ids, their number, and digests of the ids and of what they decode to."""
+    """Each document's number of token ids, and digests of the ids and of what they decode to."""
     return digests(encode(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, with_decoded=True))
