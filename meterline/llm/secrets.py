@@ -42,7 +42,7 @@ class Rule:
 RULES = (
     Rule("assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6, True),
     Rule("access", r"AKIA[A-Z0-9]+", 0, 20, True),
-    Rule("hex", r"[0-9a-f]+", 0, 24, True),
+    Rule("hex", r"[0-9a-f]{24,}", 0, 24, True),  # the same runs as of any length cut to 24 and more, without a match per letter
     Rule("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]+", 0, 40),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]+", 0, 15),

@@ -15,14 +15,15 @@ from meterline.llm.secrets import RULES, redact, scan, trigram_query
 def brute(text):
     found = []
     for place, rule in enumerate(RULES):
-        for m in re.finditer(rule.pattern, text or "", re.ASCII):
+        pattern = "[0-9a-f]+" if rule.kind == "hex" else rule.pattern  # as the kind is defined
+        for m in re.finditer(pattern, text or "", re.ASCII):
             if len(m[rule.group]) >= rule.least:
                 found.append((m.start(), place, m.end(), rule.kind))
     return sorted(found)
 
 
 def test_queries_by_hand():
-    assert trigram_query(r"[0-9a-f]+") is None
+    assert trigram_query(r"[0-9a-f]{24,}") is None
     assert trigram_query(r"ab|abcd") is None
     assert trigram_query(r"AKIA[A-Z0-9]+") == [frozenset({"aki", "kia"})]
     assert set(trigram_query(r"api_?key=")) == {frozenset({"api", "pik", "ike", "key", "ey="}), frozenset({"api", "pi_", "i_k", "_ke", "key", "ey="})}
