@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks.feeds import GREEN_STEM, YELLOW_STEM, green_feed, table, yellow_feed, zone_feed
@@ -33,7 +33,7 @@ from meterline.sources.files import file_attributes, list_files
 from meterline.sources.sinks import write_csv, write_gold, write_partitioned
 from meterline.sources.trips import SOURCE, STEM, scan_trips
 from meterline.sources.zones import read_zones, shape_zones
-from meterline.streaming.events import assign_batches, drop_redeliveries, touched_days
+from meterline.streaming.events import EventStore, assign_batches, drop_redeliveries, touched_days
 from meterline.streaming.ingest import BatchLoader, landing_files, start_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -612,6 +612,22 @@ def dedup_stream(spark, folder):
     return naive(spark.read.schema(events.schema).parquet(f"{place}/out"))
 
 
+@query
+def late_events(spark, folder):
+    """Three micro-batches, the newest days first, each with the one before delivered again."""
+    place = scratch_path(spark, "late")
+    events = table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    part = F.ntile(3).over(Window.partitionBy("event_type").orderBy(F.col("ts").desc(), "event_id"))
+    parts = events.withColumn("part", part)
+    store = EventStore(f"{place}/store", ["event_id"], "ts")
+    for n in (1, 2, 3):
+        parts.filter(F.col("part").isin(n, n - 1)).drop("part").write.parquet(f"{place}/landing/{n}")
+        stream = spark.readStream.schema(events.schema).option("recursiveFileLookup", "true").parquet(f"{place}/landing")
+        writer = stream.writeStream.foreachBatch(store).option("checkpointLocation", f"{place}/checkpoint")
+        writer.trigger(availableNow=True).start().awaitTermination()
+    return naive(spark.read.parquet(f"{place}/store").select(*events.columns))
+
+
 def _ingest(spark, folder, place, max_files):
     loader = BatchLoader(
         spark,
@@ -630,7 +646,7 @@ def ingest_stream(spark, folder):
     land(yellow_feed(spark, folder), f"{place}/landing", YELLOW_STEM)
     land(green_feed(spark, folder), f"{place}/landing", GREEN_STEM)
     _ingest(spark, folder, place, max_files=50)
-    trips = spark.read.parquet(f"{place}/silver").drop("batch_id").distinct()
+    trips = spark.read.parquet(f"{place}/silver").drop("stream_id", "batch_id").distinct()
     return trips.groupBy("origin", "year", "month").agg(F.count("*").alias("n_trips"))
 
 
@@ -652,7 +668,7 @@ def bad_file(spark, folder):
         F.regexp_extract("source_file", r"([a-z]+)_tripdata", 1).alias("name"),
         F.lit(None).cast("bigint").alias("n_trips"),
     )
-    loaded = spark.read.parquet(f"{place}/silver").drop("batch_id").distinct().groupBy(F.col("origin").alias("name")).agg(F.count("*").alias("n_trips"))
+    loaded = spark.read.parquet(f"{place}/silver").drop("stream_id", "batch_id").distinct().groupBy(F.col("origin").alias("name")).agg(F.count("*").alias("n_trips"))
     return union_by_name([letters.distinct(), loaded.withColumn("outcome", F.lit("loaded"))])
 
 

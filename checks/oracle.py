@@ -503,6 +503,7 @@ FROM (SELECT batch_window, bytes, coalesce(sum(bytes) OVER (
       FROM (SELECT *, time_bucket(INTERVAL '6 hours', ts) AS batch_window, strlen(props) AS bytes FROM events))
 GROUP BY ALL""",
     "dedup_stream": "SELECT * FROM events",
+    "late_events": "SELECT * FROM events",
     "touched_days_events": "SELECT DISTINCT CAST(ts AS DATE) AS day FROM events WHERE ts > TIMESTAMP '2024-01-20 12:00:00'",
     "touched": """
 SELECT DISTINCT CAST(ts AS DATE) AS day, event_type FROM events WHERE ts > TIMESTAMP '2024-01-20 12:00:00'""",

@@ -94,7 +94,7 @@ def dataset_facets(
     namespace: str = "meterline",
     file_format: str = "parquet",
     source_uri: str = "",
-    owner: str = "data-engineering-team",
+    owner: str = "",
     overwritten: bool = False,
 ) -> DataFrame:
     """A snapshot of one dataset: per-column facts plus where it lives and who owns it."""

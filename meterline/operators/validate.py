@@ -143,7 +143,7 @@ class ContractError(ValueError):
 
     def __init__(self, failures: Sequence[tuple]):
         self.failures = list(failures)
-        super().__init__(f"Data validation failed: {self.failures}")
+        super().__init__(f"contract not met, as (check, column, rows): {self.failures}")
 
 
 def validate(df: DataFrame, contract: Contract, by: Sequence[str] = ()) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,9 +21,10 @@ def mean(column: str, cents: bool = False) -> Column:
 
 
 def in_period(df: DataFrame, ts: str, year: int, first_month: int, last_month: int) -> DataFrame:
-    """Rows of some months of a year. Where the table is partitioned by year and
+    """Rows of some months of a year, by bounds that reach the scan. Where the table is partitioned by year and
     month the filter also names those columns, which prunes folders."""
-    kept = df.filter((F.year(ts) == year) & F.month(ts).between(first_month, last_month))
+    start, end = date(year, first_month, 1), date(year + last_month // 12, last_month % 12 + 1, 1)
+    kept = df.filter((F.col(ts) >= F.lit(start)) & (F.col(ts) < F.lit(end)))
     if {"year", "month"} <= set(df.columns):
         kept = kept.filter((F.col("year") == year) & F.col("month").between(first_month, last_month))
     return kept

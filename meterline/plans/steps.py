@@ -97,7 +97,7 @@ def resolve(steps: Sequence[str | Step] | None = None) -> list[Step]:
     unknown = [s for s in chosen if isinstance(s, str) and s not in REGISTRY]
     if unknown:
         valid = ", ".join(sorted(REGISTRY))
-        raise ValueError(f"Unknown step name: {unknown[0]!r}. Valid names: {valid}")
+        raise ValueError(f"no step is registered as {unknown[0]!r}; there are {valid}")
     return [REGISTRY[s] if isinstance(s, str) else s for s in chosen]
 
 

@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# The taxi kinds that file names begin with.
+KINDS = ("green", "yellow")
+
+
 def file_table(spark: SparkSession, root: str, pattern: str = "*.parquet") -> DataFrame:
     """One row per data file: path, modification time, bytes, and the partition
     columns of the folders above it. File contents are not read."""
@@ -26,13 +30,19 @@ def list_files(spark: SparkSession, pattern: str) -> list[str]:
 
 
 def file_attributes(files: DataFrame, path: str = "path") -> DataFrame:
-    """Taxi kind, year and month from paths like ``…/yellow_tripdata_2023-01.parquet``;
-    paths of another shape are left out."""
-    shape = r"^.*?(green|yellow).*?(\d{4})-(\d{2})\.parquet$"
-    part = lambda i: F.regexp_extract(path, shape, i)
-    return files.filter(F.col(path).rlike(shape)).withColumns(
-        {"taxi": part(1), "year": part(2).cast("int"), "month": part(3).cast("int")}
-    )
+    """Taxi kind, year and month from file names like ``yellow_tripdata_2023-01.parquet``:
+    the kind before the first underscore, the period behind the last. The folders
+    above do not matter; files named otherwise are left out."""
+    name = F.substring_index(path, "/", -1)
+    stem = F.substring_index(name, ".parquet", 1)
+    period = F.split(F.substring_index(stem, "_", -1), "-")
+    attributes = {
+        "taxi": F.substring_index(stem, "_", 1),
+        "year": F.try_element_at(period, F.lit(1)).try_cast("int"),
+        "month": F.try_element_at(period, F.lit(2)).try_cast("int"),
+    }
+    named = files.filter(name.endswith(".parquet")).withColumns(attributes)
+    return named.filter(F.col("taxi").isin(*KINDS) & F.col("year").between(1000, 9999) & F.col("month").between(1, 12))
 
 
 def _file_system(spark: SparkSession, path: str):

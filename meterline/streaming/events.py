@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterline.operators.ordered import running_sum_before
+from meterline.sources.files import exists
+from meterline.sources.sinks import write_partitioned
 
 # Bounds of an ingestion batch, and how long a queue keeps events.
 BATCH_BYTES = 256 * 1024
@@ -19,10 +21,37 @@ def drop_redeliveries(
     stream: DataFrame, ids: Sequence[str], ts: str, within: str = QUEUE_RETENTION
 ) -> DataFrame:
     """Drop events delivered again. Ids are remembered for as long as the queue
-    could still repeat them, so the state does not grow without bound."""
+    could still repeat them, so the state does not grow without bound.
+
+    Events that come later than that behind the newest are dropped too, seen or
+    not: for feeds that can be filled up afterwards use :class:`EventStore`."""
     return stream.withWatermark(ts, within).dropDuplicatesWithinWatermark(list(ids))
 
 
+class EventStore:
+    """Keeps every event once, however late or often it is delivered; for ``foreachBatch``.
+
+    Copies of an event carry its time, so a batch is compared with the stored
+    days that its events lie in, and nothing has to be remembered or given up. A
+    repeated batch replaces what it wrote.
+    """
+
+    def __init__(self, path: str, ids: Sequence[str], ts: str):
+        self.path, self.ids, self.ts = path, list(ids), ts
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
+        fresh = batch.dropDuplicates(self.ids).withColumn("day", F.to_date(self.ts))
+        if exists(spark, self.path):
+            own = (F.col("stream_id") == stream) & (F.col("batch_id") == batch_id)
+            stored = spark.read.parquet(self.path).filter(~own)
+            known = stored.join(fresh.select("day").distinct(), "day", "left_semi").select(*self.ids)
+            fresh = fresh.join(known, self.ids, "left_anti")
+        place = {"stream_id": F.lit(stream), "batch_id": F.lit(batch_id).cast("bigint")}
+        write_partitioned(fresh.withColumns(place), self.path, ("day", "stream_id", "batch_id"), replace="touched")
+
+
 def assign_batches(
     events: DataFrame,
     ts: str,

@@ -104,7 +104,7 @@ def test_letters_disappear_when_the_replayed_batch_is_healthy(lake):
     assert lake.letters() == {path.name: "unreadable"}
     write_file(yellow(lake.spark, yellow_row()), lake.landing, "yellow_tripdata_2023-01")
     lake.loader.load([str(path)], 1)
-    assert lake.silver().count() == 1 and not (lake.root / "dead" / "batch_id=1").exists()
+    assert lake.silver().count() == 1 and not (lake.root / "dead" / "stream_id=direct" / "batch_id=1").exists()
 
 
 def test_redelivered_events_are_dropped(spark, tmp_path):
@@ -122,3 +122,28 @@ def test_redelivered_events_are_dropped(spark, tmp_path):
 def test_touched_days(spark):
     df = spark.sql("SELECT timestamp'2024-01-01 10:00:00' ts UNION ALL SELECT timestamp'2024-01-02 10:00:00'")
     assert [str(r.day) for r in touched_days(df, "ts", F.lit("2024-01-01 12:00:00").cast("timestamp")).collect()] == ["2024-01-02"]
+
+
+def test_a_wrong_schema_alone_in_its_batch_is_a_letter(lake):
+    write_file(yellow(lake.spark, yellow_row()).drop("total_amount"), lake.landing, "yellow_tripdata_2023-03")
+    lake.run(max_files=1)
+    assert lake.letters() == {"yellow_tripdata_2023-03.parquet": "contract"}
+    land_good(lake)
+    lake.run(max_files=1)
+    assert lake.silver().count() == 4
+
+
+def test_a_shared_fault_stops_the_stream_and_makes_no_letter(lake):
+    land_good(lake)
+    broken = lake.spark.createDataFrame([("a", "b")], "x string, y string")
+    loader = BatchLoader(lake.spark, broken.select(F.raise_error(F.lit("zones")).cast("int").alias("LocationID"), F.col("x").alias("Borough"), F.col("y").alias("Zone"), F.col("y").alias("service_zone")), f"{lake.root}/silver", f"{lake.root}/dead")
+    with pytest.raises(Exception, match="zones"):
+        loader.load([str(p) for p in lake.landing.glob("*.parquet")], 0)
+    assert not (lake.root / "dead").exists()
+
+
+def test_a_new_checkpoint_keeps_what_is_there(lake):
+    paths = land_good(lake)
+    lake.loader.load(paths[:1], 0, "first")
+    lake.loader.load(paths[1:], 0, "second")
+    assert lake.silver().count() == 4
