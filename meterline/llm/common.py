@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.session import scratch_path
+from meterline.session import scratch_path, ship_package, shuffle_partitions
 
 #: Text is cut into words at ASCII white space only.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -13,6 +13,7 @@ SPACES = r"[\x20\x09-\x0D]+"
 
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id`` and ``text`` alone, a null text being empty; further columns are left behind."""
+    ship_package(docs.sparkSession)
     return docs.select(docs[id_col].alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
 
 
@@ -32,8 +33,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Spark's estimate for frames whose size it does not know is far above this.
+KNOWN_SIZE = 1 << 60
+
+
 def block_count(df: DataFrame, bytes_a_block: int) -> int:
-    """How many blocks of about this size the input makes, by the plan's own estimate of its size."""
+    """How many blocks of about this size the input makes, by the plan's own estimate of its size.
+
+    Where Spark cannot tell, there are as many as its shuffles have partitions.
+    """
     plan = df._jdf.queryExecution().optimizedPlan()
     size = int(str(plan.stats().sizeInBytes()))
+    if size >= KNOWN_SIZE:
+        return shuffle_partitions(df.sparkSession)
     return max(1, min(1_000_000, -(-size // bytes_a_block)))

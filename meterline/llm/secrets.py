@@ -21,7 +21,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import texts
 from meterline.llm.spans import places
 
 #: A derived query with more alternatives than this is given up, and its rule scans everything.
@@ -108,9 +107,16 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     return met.groupBy("doc_id", "text_hash").agg(F.collect_set("kind").alias("rules"))
 
 
-def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``text`` (empty for null) and ``spans``, an array of kind, start, end, base and the rule's place in the list."""
-    keyed = texts(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
+def scan(
+    docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """``doc_id``, ``text`` (empty for null) and ``spans``, an array of kind, start, end, base and the rule's place in the list.
+
+    The columns of ``keep`` come along as the struct ``kept``.
+    """
+    kept = F.struct(*(docs[name] for name in keep)).alias("kept") if keep else F.lit(None).alias("kept")
+    text_of = F.coalesce(docs[text_col], F.lit("")).alias("text")
+    keyed = docs.select(docs[id_col].alias("doc_id"), text_of, kept).withColumn("text_hash", F.xxhash64("text"))
     hits = candidates(keyed, rules).withColumnsRenamed({"doc_id": "hit_id", "text_hash": "hit_hash"})
     looked = keyed.join(hits, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("text_hash") == F.col("hit_hash")), "left")
     text, none = F.col("text"), F.array().cast("array<struct<kind: string, start: int, end: int, base: boolean, place: int>>")
@@ -125,7 +131,8 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id
             return spans
         return F.when(F.array_contains("rules", rule.kind), spans).otherwise(none)
 
-    return looked.select("doc_id", "text", reduce(F.concat, (of(k, r) for k, r in enumerate(rules)), none).alias("spans"))
+    columns = ["doc_id", "text", *(["kept"] if keep else [])]
+    return looked.select(*columns, reduce(F.concat, (of(k, r) for k, r in enumerate(rules)), none).alias("spans"))
 
 
 def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:

@@ -17,7 +17,10 @@ from meterline.llm.queries_bpe import RANKS, digests
 from meterline.llm.queries_quality import ACCEPTED, folds
 from meterline.llm.quality import fit_and_score
 from meterline.llm.secrets import redact, scan
+from meterline.operators.joins import fits_broadcast
 
+#: Up to so many ids of documents that go are broadcast.
+BROADCAST_IDS = 1_000_000
 DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
 #: Near copies: shingles of five words, 0.8 alike.
 NEAR_COPIES = jaccard.Measure(words=5, percent=80)
@@ -30,16 +33,26 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     _, learn, calibrate = folds()
     scored = fit_and_score(docs, read_table(spark, sf_dir, "labels"), "quality", learn, calibrate)
-    best = scored.groupBy(F.col("doc_id").alias("scored_id")).agg(F.max("score").alias("score"))
-    kept = best.where(F.col("score") >= ACCEPTED).select("scored_id")
-    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("scored_id")), "left_semi").select(*DOCUMENT)
+    best = scored.groupBy("doc_id").agg(F.max("score").alias("score"))
+    return _without(docs, best.where(F.col("score") < ACCEPTED).select("doc_id")).select(*DOCUMENT)
+
+
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents with other ids; only a list of ids that is measured to be short is broadcast."""
+    gone = stored(ids.withColumnRenamed("doc_id", "_gone"), "gone")
+    side = F.broadcast(gone) if fits_broadcast(gone, BROADCAST_IDS) else gone
+    return docs.join(side, docs["doc_id"].eqNullSafe(F.col("_gone")), "left_anti")
 
 
 def keep_one_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies, that with the smallest id; repeated rows once; documents without an id all."""
-    linked = stored(jaccard.link(docs, NEAR_COPIES).where("doc_id = component_id").select("doc_id").distinct(), "kept")
-    chosen = docs.join(linked, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return chosen.unionByName(docs.where("doc_id IS NULL")).select(*DOCUMENT)
+    linked = stored(jaccard.link(docs, NEAR_COPIES).select("doc_id", "component_id").where("doc_id IS NOT NULL"), "linked")
+    chosen = _without(docs, linked.where("doc_id <> component_id").select("doc_id").distinct())
+    repeated = linked.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if repeated.isEmpty():  # ids are unique, as they should be: no text has to be moved
+        return chosen.select(*DOCUMENT)
+    once = chosen.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*DOCUMENT)
+    return _without(chosen, repeated).select(*DOCUMENT).unionByName(once)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,12 +62,15 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets replaced by a mark; the length follows the text, which stays null where it was."""
-    found = scan(docs).where(F.size("spans") > 0)
-    clean = found.select(F.col("doc_id").alias("found_id"), F.col("text").alias("found_text"), redact(F.col("text"), F.col("spans")).alias("clean")).distinct()
-    same = docs["doc_id"].eqNullSafe(F.col("found_id")) & (docs["text"] == F.col("found_text"))
-    joined = docs.join(clean, same, "left")
-    length = F.when(F.col("clean").isNotNull(), F.length("clean").cast("long")).otherwise(F.col("n_chars"))
-    return joined.select("doc_id", F.coalesce("clean", "text").alias("text"), "lang", "source", length.alias("n_chars"))
+    found = scan(docs, keep=DOCUMENT[1:]).withColumn("clean", redact(F.col("text"), F.col("spans")))
+    changed = F.size("spans") > 0
+    return found.select(
+        "doc_id",
+        F.when(changed, F.col("clean")).otherwise(F.col("kept.text")).alias("text"),
+        "kept.lang",
+        "kept.source",
+        F.when(changed, F.length("clean").cast("long")).otherwise(F.col("kept.n_chars")).alias("n_chars"),
+    )
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
