@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from meterline.llm.common import texts
 
 #: So many words are remembered by each Python worker; words met after that are encoded each time.
-REMEMBERED = 250_000
+REMEMBERED = 300_000
 #: Pre-tokens of up to so many bytes are merged side by side, longer ones each by itself.
 SHORT = 64
 

@@ -86,15 +86,43 @@ class _Chunks:
         return row
 
 
+#: So many words are handed to the library as one text.
+WORDS_A_TEXT = 500
+
+
 def library_encoder(vocabulary: str) -> TextEncoder:
-    """Encodes with the tokenizers library from the text of its json file."""
+    """Encodes with the tokenizers library from the text of its json file.
+
+    Words are given to it side by side, each led by its space or by a line
+    end, and the ids are cut where the words' bytes end: no token crosses that.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel part
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_str(vocabulary)
     tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
     batch = getattr(tokenizer, "encode_batch_fast", tokenizer.encode_batch)
-    return TextEncoder(lambda words: [np.array(x.ids, dtype="<u4").tobytes() for x in batch(words, add_special_tokens=False)])
+    tokens = tokenizer.get_vocab()
+    n_bytes = np.zeros(max(tokens.values(), default=0) + 1, dtype=np.int64)  # a character of a token stands for a byte
+    n_bytes[list(tokens.values())] = [len(t) for t in tokens]
+
+    def encode_all(words: list[str]) -> list[bytes]:
+        plain = [w for w in words if not any(map(str.isspace, w[w[:1] == " " :]))]
+        groups = [plain[k : k + WORDS_A_TEXT] for k in range(0, len(plain), WORDS_A_TEXT)]
+        found: dict[str, bytes] = {}
+        led = [[w if w[0] == " " else f"\n{w}" for w in group] for group in groups]
+        for group, parts, encoding in zip(groups, led, batch(["".join(x) for x in led], add_special_tokens=False)):
+            ids = np.array(encoding.ids, dtype="<u4")
+            ends = np.cumsum([len(x.encode()) for x in parts])
+            cuts = np.searchsorted(np.cumsum(n_bytes[ids]), ends, side="right").tolist()
+            packed = ids.tobytes()
+            for word, a, b in zip(group, [0, *cuts[:-1]], cuts):
+                found[word] = packed[4 * (a + (word[0] != " ")) : 4 * b]
+        whole = [w for w in words if w not in found]
+        found.update(zip(whole, (np.array(x.ids, dtype="<u4").tobytes() for x in batch(whole, add_special_tokens=False))))
+        return [found[w] for w in words]
+
+    return TextEncoder(encode_all)
 
 
 def write_ids(

@@ -45,3 +45,15 @@ def test_files_read_back(spark, rows, unit):
     write_ids(docs, PATH, path, unit=unit, chunk_ids=64, bytes_a_shard=1 << 10)
     got = sorted((r.start, r.doc_id, r.n_tokens, zlib.crc32(r.ids)) for r in read_ids(spark, path).collect())
     assert [(d, s, n, c) for s, d, n, c in got] == expected(rows)
+
+
+def test_words_side_by_side_equal_the_library():
+    import random
+
+    from meterline.llm.planes import library_encoder
+
+    rng = random.Random(6)
+    texts = ["", " ", "a", "<|endoftext|> x", "é\U0001f600 \U0001f600y", "it's don't\nI'll", "a\n\nb", "x  y", " lead", "trail ", "\x1c a", "tab\tbed word"]
+    texts += ["".join(rng.choice("ab c\n\t 'és1. ") for _ in range(rng.randrange(60))) for _ in range(800)]
+    for text, ids in zip(texts, library_encoder(open(PATH, encoding="utf-8").read()).many(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids, repr(text)
