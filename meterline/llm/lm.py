@@ -9,8 +9,8 @@ counts that leave this part out.
 Counts cover the whole corpus and nothing of them is broadcast or collected.
 Documents are dealt to blocks of about equal size. A block sends the distinct
 keys (64-bit hashes of words and of pairs) it holds, with its own counts, to
-the task that owns their range; that task sums them and answers each block,
-leaving out what the block knows alone. Blocks then write what scoring needs:
+the task that owns their range; that task sums them and answers each block in
+the order of its keys. Blocks then write what scoring needs:
 for each token of each document its count and that of the pair it ends.
 
 Words are cut at ASCII white space, A-Z in lower case; a document is its words
@@ -36,6 +36,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterline.llm.common import block_count, stored, texts
+from meterline.llm.packing import numbers as _numbers
+from meterline.llm.packing import packed as _packed
+from meterline.llm.packing import read as _read
+from meterline.llm.packing import unpacked as _unpacked
 
 #: Compressed input that makes a block.
 BLOCK_BYTES = 8 << 20
@@ -46,6 +50,8 @@ REMEMBERED = 600_000
 END = np.uint64(0x5D1F3C9A7B2E4680)
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 WORD, PAIR = 0, 1
+#: Pairs are told apart by 52 bits (words by 64), which makes their keys cheaper to send.
+PAIR_BITS = np.uint64(0xFFFFFFFFFFFFF000)
 
 
 class _WordHashes(dict):
@@ -73,25 +79,7 @@ def _pairs(tokens: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         x = (before * MULTIPLIER) ^ (tokens + (before >> np.uint64(29)))
         x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    return x ^ (x >> np.uint64(30))
-
-
-def _packed(keys: np.ndarray) -> bytes:
-    """Ascending keys as differences, their bytes in planes: the high planes are nearly empty and compress away."""
-    return np.ascontiguousarray(np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T).tobytes()
-
-
-def _unpacked(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(data, dtype=np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
-
-
-def _numbers(x: np.ndarray) -> bytes:
-    return x.astype(np.uint32).tobytes()
-
-
-def _read(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, dtype=np.uint32)
+    return (x ^ (x >> np.uint64(30))) & PAIR_BITS
 
 
 @dataclass
@@ -116,7 +104,13 @@ class _Block:
 
 
 ASKED = "kind int, range int, block int, keys binary, train binary, held binary"
-ANSWERED = "block int, kind int, keys binary, train binary, held binary, new_words bigint"
+ANSWERED = "block int, kind int, range int, train binary, held binary, new_words bigint"
+
+
+def _cuts(keys: np.ndarray, ranges: int) -> list[int]:
+    """Where ascending keys fall into the ranges: the borders, with both ends."""
+    borders = np.array([(k << 64) // ranges for k in range(1, ranges)], dtype=np.uint64)
+    return [0, *np.searchsorted(keys, borders).tolist(), len(keys)]
 
 
 def _ask(ranges: int):
@@ -125,8 +119,8 @@ def _ask(ranges: int):
         number = table.column("block")[0].as_py()
         for kind in (WORD, PAIR):
             keys, _, train, held = block.counted(kind)
-            cuts = np.searchsorted(keys, np.array([(k << 64) // ranges for k in range(1, ranges)], dtype=np.uint64))
-            for k, (a, b) in enumerate(zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)])):
+            cuts = _cuts(keys, ranges)
+            for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
                 if b > a:
                     rows.append((kind, k, number, _packed(keys[a:b]), _numbers(train[a:b]), _numbers(held[a:b])))
         names = ("kind", "range", "block", "keys", "train", "held")
@@ -137,36 +131,35 @@ def _ask(ranges: int):
 
 
 def _answer(table: pa.Table) -> pa.Table:
-    """Sum a range's keys over all blocks and tell each block the sums that differ from its own counts."""
+    """Sum a range's keys over all blocks and tell each block the sums, in the order in which it asked."""
     asked = [(r["block"], _unpacked(r["keys"]), _read(r["train"]), _read(r["held"])) for r in table.to_pylist()]
-    kind = table.column("kind")[0].as_py()
+    kind, number_of_range = table.column("kind")[0].as_py(), table.column("range")[0].as_py()
     every, place = np.unique(np.concatenate([k for _, k, _, _ in asked]), return_inverse=True)
     train = np.bincount(place, np.concatenate([t for _, _, t, _ in asked]), len(every)).astype(np.uint32)
     held = np.bincount(place, np.concatenate([h for _, _, _, h in asked]), len(every)).astype(np.uint32)
     words, rows, first = int((train > 0).sum()) if kind == WORD else 0, [], 0
-    for number, keys, own_train, own_held in asked:
+    for number, keys, _, _ in asked:
         at = place[first : first + len(keys)]
         first += len(keys)
-        differs = (train[at] != own_train) | (held[at] != own_held)
-        if words or differs.any():
-            rows.append((number, kind, _packed(keys[differs]), _numbers(train[at][differs]), _numbers(held[at][differs]), words))
-            words = 0
-    names = ("block", "kind", "keys", "train", "held", "new_words")
-    types = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int64())
-    return pa.table({n: pa.array(x, t) for n, x, t in zip(names, zip(*rows) if rows else [[]] * 6, types)})
+        rows.append((number, kind, number_of_range, _numbers(train[at]), _numbers(held[at]), words))
+        words = 0
+    names = ("block", "kind", "range", "train", "held", "new_words")
+    types = (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int64())
+    return pa.table({n: pa.array(x, t) for n, x, t in zip(names, zip(*rows), types)})
 
 
-def _joined(docs: pa.Table, answers: pa.Table) -> pa.Table:
+def _joined(docs: pa.Table, answers: pa.Table, ranges: int) -> pa.Table:
     """For each document the counts of its tokens and pairs; for those of the weights' part also what that part has of them."""
     block = _Block.of(docs)
     replies = answers.to_pylist()
     columns = {}
     for kind, name in ((WORD, "word"), (PAIR, "pair")):
         keys, place, train, held = block.counted(kind)
+        cuts = _cuts(keys, ranges)
         for r in replies:
             if r["kind"] == kind:
-                at = np.searchsorted(keys, _unpacked(r["keys"]))
-                train[at], held[at] = _read(r["train"]), _read(r["held"])
+                own = slice(cuts[r["range"]], cuts[r["range"] + 1])
+                train[own], held[own] = _read(r["train"]), _read(r["held"])
         columns[name], columns[f"{name}_held"] = train[place], held[place]
     ends = np.cumsum(block.sizes)
     cut = lambda x, wanted: [_numbers(x[b - n : b]) if w else None for b, n, w in zip(ends.tolist(), block.sizes.tolist(), wanted)]
@@ -197,11 +190,17 @@ def counted(docs: DataFrame, learn: Column, weigh: Column, id_col: str = "doc_id
     kind = source.schema["doc_id"].dataType.simpleString()
     blocks = block_count(docs, BLOCK_BYTES)
     part = F.when(learn & weigh, 2).when(learn, 1).otherwise(0)
-    dealt = source.select("doc_id", "text", part.alias("part"), F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block"))
+    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")
+    # texts are moved once: both uses below find the rows of a block together
+    dealt = source.select("doc_id", "text", part.alias("part"), block.alias("block")).repartition(blocks, "block")
     asked = dealt.groupBy("block").applyInArrow(_ask(blocks), ASKED)
     answered = asked.groupBy("kind", "range").applyInArrow(_answer, ANSWERED)
     layout = f"doc_id {kind}, part int, n_tokens bigint, word binary, pair binary, word_held binary, pair_held binary, new_words bigint"
-    return stored(dealt.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(_joined, layout), "counted")
+
+    def join(docs_of_block: pa.Table, answers: pa.Table) -> pa.Table:
+        return _joined(docs_of_block, answers, blocks)
+
+    return stored(dealt.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(join, layout), "counted")
 
 
 def _estimates(word: np.ndarray, pair: np.ndarray, ends: int, total: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
