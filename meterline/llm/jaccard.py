@@ -29,23 +29,27 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterline.llm.bpe import in_portions
-from meterline.llm.common import stored, texts
+from meterline.llm.common import block_count, stored, texts
 from meterline.llm.components import components
+from meterline.llm.packing import numbers, packed, read, unpacked
 from meterline.operators.joins import fits_broadcast
 
 #: The corpus counts are kept for so many groups of tokens; groups are summed in slices.
-SKETCH_BITS, SLICE_BITS = 20, 14
+SKETCH_BITS, SLICE_BITS = 22, 16
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 #: Salts of the orders that break ties; the first one finds the pairs.
 ORDERS = (0x0, 0x5851F42D4C957F2D, 0x14057B7EF767814F)
 #: So many documents are compared with one other in a task.
 MEMBERS_A_TASK = 256
-BROADCAST_ROUTES = 200_000
-REMEMBERED = 1_000_000
+#: Up to so many, the places that texts go to are broadcast.
+BROADCAST_ROUTES = 800_000
+REMEMBERED = 500_000
+#: A task packs its prefix tokens whenever it has so many; a range of tokens is made for so much input.
+FLUSHED_TOKENS, RANGE_BYTES = 1_000_000, 8 << 20
 
 
 @dataclass(frozen=True)
@@ -89,21 +93,33 @@ class Shingler:
             return np.unique(_mixed(total * MULTIPLIER))
 
 
+_shinglers: dict[int, Shingler] = {}
+
+
+def worker_shingler(words: int) -> Shingler:
+    """One per Python worker, so that the words it knows serve all tasks."""
+    return _shinglers.setdefault(words, Shingler(words))
+
+
 class Orders:
     """The global orders: rarer groups of tokens first, then by a salted hash."""
 
-    def __init__(self, counts: np.ndarray):
-        self.level = np.log2(np.maximum(counts, 1)).astype(np.uint64)
+    def __init__(self, levels: np.ndarray):
+        self.levels = levels
+
+    @staticmethod
+    def levels_of(counts: np.ndarray) -> np.ndarray:
+        return np.log2(np.maximum(counts, 1)).astype(np.uint8)
 
     def prefix(self, tokens: np.ndarray, order: int, percent: int) -> np.ndarray:
+        """The first tokens in this order, of which sets as alike as asked share one."""
         n = len(tokens)
-        size = n - -(-percent * n // 100) + 1
-        if size >= n:
-            return tokens
+        size = min(n, n - -(-percent * n // 100) + 1)
         with np.errstate(over="ignore"):
             rank = _mixed((tokens ^ np.uint64(ORDERS[order])) * MULTIPLIER) >> np.uint64(6)
-        rank |= self.level[tokens >> np.uint64(64 - SKETCH_BITS)] << np.uint64(58)
-        return tokens[np.argpartition(rank, size - 1)[:size]]
+        rank |= self.levels[tokens >> np.uint64(64 - SKETCH_BITS)].astype(np.uint64) << np.uint64(58)
+        first = np.argpartition(rank, size - 1)[:size]
+        return tokens[first[np.argsort(rank[first])]]
 
 
 def _signature(tokens: np.ndarray) -> tuple[int, int]:
@@ -119,7 +135,7 @@ def _describe(docs: DataFrame, measure: Measure) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("high", pa.int64()), ("low", pa.int64()), ("slice", pa.int32()), ("counts", pa.binary())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingle, counts = Shingler(measure.words), np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
+        shingle, counts = worker_shingler(measure.words), np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
         for batch in batches:
             for part in in_portions(batch, "text"):
                 sets = [shingle(text.as_py()) for text in part.column("text")]
@@ -132,7 +148,7 @@ def _describe(docs: DataFrame, measure: Measure) -> DataFrame:
         if counts.any():
             slices = counts.reshape(-1, 1 << SLICE_BITS)
             none = [None] * len(slices)
-            columns = [none, none, none, none, range(len(slices)), [x.tobytes() for x in slices]]
+            columns = [none, none, none, none, range(len(slices)), list(map(numbers, slices))]
             yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(columns, schema)], schema=schema)
 
     return docs.mapInArrow(run, layout)
@@ -141,9 +157,13 @@ def _describe(docs: DataFrame, measure: Measure) -> DataFrame:
 def _corpus_counts(described: DataFrame) -> np.ndarray:
     """The counts of all groups of tokens: 2 to ``SKETCH_BITS`` numbers, whatever the corpus."""
 
-    def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(x.as_py(), dtype=np.uint32).astype(np.uint64) for x in table.column("counts"))
-        return pa.table({"slice": table.column("slice")[:1], "counts": pa.array([total.tobytes()], pa.binary())})
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, number = np.zeros(1 << SLICE_BITS, dtype=np.uint64), None
+        for batch in batches:
+            number = batch.column("slice")[:1]
+            for part in batch.column("counts"):
+                total += read(part.as_py())
+        yield pa.RecordBatch.from_arrays([number, pa.array([total.tobytes()], pa.binary())], ["slice", "counts"])
 
     parts = described.where("slice IS NOT NULL").select("slice", "counts").groupBy("slice").applyInArrow(add, "slice int, counts binary")
     counts = np.zeros(1 << SKETCH_BITS, dtype=np.uint64)
@@ -152,28 +172,77 @@ def _corpus_counts(described: DataFrame) -> np.ndarray:
     return counts
 
 
-def _prefixes(docs: DataFrame, shared, measure: Measure) -> DataFrame:
-    """``token``, ``node``, ``n``: the prefix tokens of the first order. Of equal sets in a task only one is taken."""
+def _prefixes(docs: DataFrame, shared, measure: Measure, ranges: int) -> DataFrame:
+    """The prefix tokens of the first order with their documents and sizes, packed by ranges of tokens.
+
+    Of equal sets in a task only one is taken.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingle, orders, seen = Shingler(measure.words), Orders(shared.value), set()
+        shingle, orders, seen = worker_shingler(measure.words), Orders(shared.value), set()
+        borders = np.array([(k << 64) // ranges for k in range(1, ranges)], dtype=np.uint64)
+        held: list[tuple[np.ndarray, int, int]] = []
+
+        def flushed() -> pa.RecordBatch:
+            sizes = [len(x) for x, _, _ in held]
+            token = np.concatenate([x for x, _, _ in held])
+            order = np.argsort(token, kind="stable")
+            at = np.concatenate([np.arange(size) for size in sizes])[order]
+            token = token[order]
+            node, n = (np.repeat(np.array([h[k] for h in held], dtype=np.int64), sizes)[order] for k in (1, 2))
+            cuts = [0, *np.searchsorted(token, borders).tolist(), len(token)]
+            rows = [(k, packed(token[a:b]), node[a:b].tobytes(), numbers(n[a:b]), numbers(at[a:b])) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), *[pa.binary()] * 4))], PACKED)
+
+        count = 0
         for batch in batches:
-            for part in in_portions(batch, "text"):
-                token, node, n = [], [], []
-                for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text")):
-                    tokens = shingle(text.as_py())
-                    sign = _signature(tokens)
-                    if len(tokens) and sign not in seen:
-                        seen.add(sign)
-                        token.append(orders.prefix(tokens, 0, measure.percent))
-                        node.append(doc_id)
-                        n.append(len(tokens))
-                if token:
-                    sizes = [len(x) for x in token]
-                    columns = [np.concatenate(token).view(np.int64), np.repeat(np.array(node), sizes), np.repeat(np.array(n), sizes)]
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["token", "node", "n"])
-
-    return docs.mapInArrow(run, "token bigint, node bigint, n bigint")
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+                tokens = shingle(text.as_py())
+                sign = _signature(tokens)
+                if len(tokens) and sign not in seen:
+                    seen.add(sign)
+                    held.append((orders.prefix(tokens, 0, measure.percent), doc_id, len(tokens)))
+                    count += len(held[-1][0])
+                    if count >= FLUSHED_TOKENS:
+                        yield flushed()
+                        count = 0
+        if held:
+            yield flushed()
+
+    return docs.mapInArrow(run, "range int, tokens binary, nodes binary, sizes binary, places binary")
+
+
+PACKED = ["range", "tokens", "nodes", "sizes", "places"]
+
+
+def _meeting(table: pa.Table) -> pa.Table:
+    """Of a range of tokens the rows whose token more than one document has, with the smallest and largest of these."""
+    token = np.concatenate([unpacked(x.as_py()) for x in table.column("tokens")])
+    node = np.concatenate([np.frombuffer(x.as_py(), dtype=np.int64) for x in table.column("nodes")])
+    n, at = (np.concatenate([read(x.as_py()) for x in table.column(c)]).astype(np.int64) for c in ("sizes", "places"))
+    order = np.lexsort((node, token))
+    token, node, n, at = token[order], node[order], n[order], at[order]
+    first = np.concatenate([[True], token[1:] != token[:-1]])
+    begins = np.flatnonzero(first)
+    ends = np.append(begins[1:], len(token)) - 1
+    group = np.cumsum(first) - 1
+    low, high = begins[group], ends[group]
+    shared = node[low] < node[high]
+    columns = [token.view(np.int64), node, n, at, node[low], n[low], at[low], node[high], n[high], at[high]]
+    return pa.table(dict(zip(MEETING, (pa.array(c[shared]) for c in columns))))
+
+
+MEETING = ("token", "node", "n", "at", "low", "low_n", "low_at", "high", "high_n", "high_at")
+
+
+def _can_link(n: Column, at: Column, other_n: Column, other_at: Column, percent: int) -> Column:
+    """Whether sets of these sizes can be alike enough if this token is the first that they share in the order.
+
+    Then they share nothing before it, so at most what is left of the smaller rest.
+    """
+    needed = F.ceil((n + other_n) * percent / (100 + percent) - 1e-9)
+    return (F.least(n, other_n) * 100 >= F.greatest(n, other_n) * percent) & (F.least(n - at, other_n - other_at) >= needed)
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, shared, measure: Measure) -> DataFrame:
@@ -189,17 +258,17 @@ def _verified(docs: DataFrame, pairs: DataFrame, shared, measure: Measure) -> Da
     percent = measure.percent
 
     def compare(table: pa.Table) -> pa.Table:
-        shingle, orders = Shingler(measure.words), Orders(shared.value)
+        shingle, orders = worker_shingler(measure.words), Orders(shared.value)
         flags = np.array(table.column("is_hub").to_pylist(), dtype=bool)
         ids, hub_id = table.column("doc_id").to_pylist(), table.column("hub")[0].as_py()
         hub_sets, found = [shingle(table.column("text")[int(k)].as_py()) for k in np.flatnonzero(flags)], []
-        prefixes = [[orders.prefix(h, o, percent) for o in range(len(ORDERS))] for h in hub_sets]
+        prefixes = [[orders.prefix(h, o, percent) for o in range(1, len(ORDERS))] for h in hub_sets]
         for k in np.flatnonzero(~flags):
             tokens = shingle(table.column("text")[int(k)].as_py())
             for hub, firsts in zip(hub_sets, prefixes):
                 if 100 * min(len(hub), len(tokens)) < percent * max(len(hub), len(tokens)):
                     continue
-                if not all(np.isin(orders.prefix(tokens, o, percent), first).any() for o, first in enumerate(firsts)):
+                if not all(np.isin(orders.prefix(tokens, o, percent), first).any() for o, first in enumerate(firsts, 1)):
                     continue
                 shared_n = len(np.intersect1d(hub, tokens, assume_unique=True))
                 if 100 * shared_n >= percent * (len(hub) + len(tokens) - shared_n):
@@ -216,27 +285,28 @@ def link(docs: DataFrame, measure: Measure = Measure(), id_col: str = "doc_id",
     source = every.where("doc_id IS NOT NULL")
     described = stored(_describe(every.select(F.col("doc_id").cast("bigint"), "text"), measure), "sets")
     sets = described.where("slice IS NULL").drop("slice", "counts")
-    shared = docs.sparkSession.sparkContext.broadcast(_corpus_counts(described))
+    shared = docs.sparkSession.sparkContext.broadcast(Orders.levels_of(_corpus_counts(described)))
     # equal sets, and rows with equal ids, are linked to begin with
     classes = sets.where("n > 0 AND doc_id IS NOT NULL").groupBy("high", "low", "n").agg(F.min("doc_id").alias("first"))
     known = sets.where("n > 0 AND doc_id IS NOT NULL").join(classes, ["high", "low", "n"]).select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
     known = stored(known.where("a <> b").distinct(), "equal-sets")
-    placed = stored(_prefixes(source.select(F.col("doc_id").cast("bigint"), "text"), shared, measure), "prefixes")
-    node = F.struct("node", "n")
-    groups = placed.groupBy("token").agg(F.min(node).alias("low"), F.max(node).alias("high")).where("low.node < high.node")
-    together = placed.join(groups, "token")
-    size_fits = F.least("n", "hub.n") * 100 >= F.greatest("n", "hub.n") * measure.percent
-    first = together.select("node", "n", F.explode(F.array("low", "high")).alias("hub")).where((F.col("hub.node") != F.col("node")) & size_fits)
+    ranges = block_count(docs, RANGE_BYTES)
+    placed = _prefixes(source.select(F.col("doc_id").cast("bigint"), "text"), shared, measure, ranges)
+    together = stored(placed.groupBy("range").applyInArrow(_meeting, ", ".join(f"{c} bigint" for c in MEETING)), "meeting")
+    ends = [F.struct(F.col(e).alias("node"), F.col(f"{e}_n").alias("n"), F.col(f"{e}_at").alias("at")) for e in ("low", "high")]
+    first = together.select("node", "n", "at", F.explode(F.array(*ends)).alias("hub")).where(F.col("hub.node") != F.col("node"))
+    first = first.where(_can_link(F.col("n"), F.col("at"), F.col("hub.n"), F.col("hub.at"), measure.percent))
     first = first.select(F.col("hub.node").alias("hub"), F.col("node").alias("member")).distinct()
-    first = _without(first, known)
+    first = stored(_without(first, known), "first-pairs")
     links = known.unionByName(stored(_verified(source, _parts(first), shared, measure), "links"))
     member_of = components(links)
-    tokens = together.select("token", "node", "n").join(member_of, "node", "left").withColumn("c", F.coalesce("component", "node"))
+    tokens = together.select("token", "node", "n", "at").join(member_of, "node", "left").withColumn("c", F.coalesce("component", "node"))
     open_tokens = tokens.groupBy("token").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x < y").select("token")
-    left = stored(tokens.join(open_tokens, "token").select("token", "node", "n", "c"), "open")
-    right = left.select("token", F.col("node").alias("other"), F.col("n").alias("other_n"), F.col("c").alias("other_c"))
-    apart = (F.col("c") < F.col("other_c")) & (F.least("n", "other_n") * 100 >= F.greatest("n", "other_n") * measure.percent)
+    left = stored(tokens.join(open_tokens, "token").select("token", "node", "n", "at", "c"), "open")
+    right = left.select("token", F.col("node").alias("other"), F.col("n").alias("other_n"), F.col("at").alias("other_at"), F.col("c").alias("other_c"))
+    apart = (F.col("c") < F.col("other_c")) & _can_link(F.col("n"), F.col("at"), F.col("other_n"), F.col("other_at"), measure.percent)
     second = left.join(right, "token").where(apart).select(F.col("node").alias("hub"), F.col("other").alias("member")).distinct()
+    second = stored(second, "second-pairs")
     links = links.unionByName(stored(_verified(source, _parts(second), shared, measure), "links"))
     final = components(links)
     sizes = sets.select("doc_id", F.col("n").alias("n_shingles"))
