@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterline.llm.common import block_count, texts
+from meterline.llm.common import block_count, stored, texts
 
 #: A paragraph ends after these characters, or before it gets longer than this.
 PARAGRAPH = r"[^\n.!?]{0,160}[\n.!?]+|[^\n.!?]{1,160}"
@@ -75,13 +75,15 @@ def _in_order(keys: DataFrame, bytes_a_range: int) -> DataFrame:
 
     Keys are put into ranges; each range is ordered by itself, and its last
     row is given the first of the next range. Only a row per range meets in one task.
+    The ranged keys are written once: each range exchange draws its own borders.
     """
     ranged = keys.repartitionByRange(block_count(keys, bytes_a_range), "doc_id", "text_hash").withColumn("part", F.spark_partition_id())
+    ranged = stored(ranged, "in_order")
     heads = ranged.groupBy("part").agg(F.min(F.struct("doc_id", "text_hash", "key")).alias("head"))
     along = Window.orderBy("part")
     over_all = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     heads = heads.select("part", F.coalesce(F.lead("head").over(along), F.first("head").over(over_all)).alias("next_head"))
-    within = Window.partitionBy("part").orderBy("doc_id", "text_hash")
+    within = Window.partitionBy("part").orderBy("doc_id", "text_hash", "key")
     follows = ranged.withColumn("follower", F.lead("key").over(within)).join(heads, "part")
     return follows.select("key", "n_chars", F.coalesce("follower", F.col("next_head")["key"]).alias("next_key"))
 
@@ -92,7 +94,9 @@ def edit_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Rows equal in id and text count as one document when the next is looked
     for, and each has a row in the result; rows with equal ids and different
     texts follow each other by a hash of the text; those without an id come
-    first. A single document is its own next.
+    first. A single document is its own next. There are as many followers as
+    documents, so if every document is one, each is one once; a document that
+    follows none stops the query.
     """
     source = texts(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
     key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.hex("text_hash"), F.length("text"))
@@ -100,7 +104,8 @@ def edit_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     keys = source.select("doc_id", "text_hash", key.alias("key"), F.length("text").cast("long").alias("n_chars")).distinct()
     order = _in_order(keys, bytes_a_range)
     before = order.select(F.col("next_key").alias("key"), F.col("key").alias("previous"), F.col("n_chars").alias("previous_n"))
-    marked = whole.join(before, "key").withColumn("n_chars", F.length("text").cast("long")).withColumn("fingerprint", fingerprint(F.col("text")))
+    followed = F.when(F.col("previous").isNull(), F.raise_error(F.concat(F.lit("follows no document: "), "key"))).otherwise(F.col("previous"))
+    marked = whole.join(before, "key", "left").withColumn("previous", followed).withColumn("n_chars", F.length("text").cast("long")).withColumn("fingerprint", fingerprint(F.col("text")))
     quarter = F.floor(F.col("previous_n") / 4).cast("int")
     heads = marked.select(F.col("previous").alias("key"), F.substring(F.col("text"), F.lit(1), quarter).alias("head"), F.col("fingerprint").alias("next_fingerprint"))
     kept = F.substring(F.col("text"), F.lit(1), (F.col("n_chars") - F.floor(F.col("n_chars") / 4)).cast("int"))

@@ -6,6 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from meterline.llm import merkle
 from meterline.llm.merkle import PARAGRAPH, edit_with_next, edited_branches, fingerprints, likeness
 from meterline.llm.queries_merkle import op8_merkle
 
@@ -78,3 +79,24 @@ def test_query(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     got = {r.doc_id: r[1:7] for r in op8_merkle(spark, "/root/testdata/sf0.001").collect()}
     assert got == brute([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()])
+
+
+def test_every_document_follows_one_over_many_ranges(spark):
+    n = 30_000
+    docs = spark.range(n).selectExpr("id * 7919 % 30011 AS doc_id", "concat(id * 31 % 9973, ' text') AS text").repartition(3)
+    keys = sorted(r.doc_id for r in docs.select("doc_id").collect())
+    got = edit_with_next(docs, bytes_a_range=64 << 10).select("doc_id", "text", "edited").collect()
+    text = {r.doc_id: r.text for r in got}
+    assert len(got) == len(text) == n
+    edited = {r.doc_id: r.edited for r in got}
+    for k in range(n):
+        t, q = text[keys[k]], len(text[keys[k]]) // 4
+        assert edited[keys[k]] == t[: len(t) - q] + text[keys[(k + 1) % n]][:q]
+
+
+def test_a_lost_document_stops_the_query(spark, monkeypatch):
+    whole = merkle._in_order
+    monkeypatch.setattr(merkle, "_in_order", lambda keys, size: whole(keys, size).where("NOT next_key LIKE '4:%'"))
+    docs = spark.createDataFrame([(k, f"text {k}.") for k in range(9)], "doc_id long, text string")
+    with pytest.raises(Exception, match="follows no document: 4:"):
+        edit_with_next(docs).collect()
