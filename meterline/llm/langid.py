@@ -4,11 +4,13 @@ A word's score for each language is the sum of the weights of its character
 n-grams (those that touch its ends are its affixes) and of the word itself
 (the lexicon); learned transitions join neighbours. Forward-backward gives
 each word's distribution; a document takes the language with the largest mean.
+Words of more than ``LONGEST_PIECE`` letters, as in scripts without spaces, are
+cut into consecutive pieces, each of which is labelled and counted as a word.
 
 Training uses at most ``docs_a_language`` documents of each language (a sample
 by a hash of the id), of each ``sample_chars`` characters from a place that
 the hash chooses, spliced into sequences that switch language. Prediction
-uses every word of every text.
+uses every letter of every word of every text.
 
 Defined results: a null text or one without a letter is ``und`` with score 0
 and no runs; so is every text if no labelled row can be learned from; rows
@@ -33,8 +35,8 @@ from meterline.llm.common import texts
 UNKNOWN = "und"
 BUCKETS = 1 << 16
 LONGEST = 4  # of the n-grams
-#: Of a longer word the features use this many characters from either end.
-HALF_WORD = 16
+#: Letters of a word that is not cut.
+LONGEST_PIECE = 32
 #: So many words' scores are kept by a Python worker before it starts afresh.
 REMEMBERED = 400_000
 
@@ -43,11 +45,22 @@ def letters(word: str) -> str:
     return word if word.isalpha() else "".join(filter(str.isalpha, word))
 
 
+def pieces(words: list[str]) -> list[str]:
+    """The words, with those of more letters than ``LONGEST_PIECE`` cut into the fewest pieces, about equally long."""
+    if max(map(len, words), default=0) <= LONGEST_PIECE:
+        return words
+    found: list[str] = []
+    for word in words:
+        bare = letters(word) if len(word) > LONGEST_PIECE else word
+        n = -(-len(bare) // LONGEST_PIECE)
+        found += [bare[len(bare) * k // n : len(bare) * (k + 1) // n] for k in range(n)] if n > 1 else [word]
+    return found
+
+
 def feature_buckets(words: list[str]) -> np.ndarray:
     """The weights' rows for each word; row ``BUCKETS`` stands for no feature."""
-    short = [w if len(w) <= 2 * HALF_WORD else w[:HALF_WORD] + w[-HALF_WORD:] for w in words]
-    width = max(map(len, short), default=0) + 2
-    chars = np.array([f"^{w}$" for w in short], dtype=f"<U{width}").view(np.uint32).reshape(len(words), width).astype(np.uint64)
+    width = max(map(len, words), default=0) + 2
+    chars = np.array([f"^{w}$" for w in words], dtype=f"<U{width}").view(np.uint32).reshape(len(words), width).astype(np.uint64)
     there = chars > 0
     with np.errstate(over="ignore"):
         spread = lambda h: ((h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)) % np.uint64(BUCKETS)
@@ -189,7 +202,7 @@ def train(
     part = F.substring(F.col("text"), (begin + 1).cast("int"), F.lit(sample_chars)).alias("part")
     samples: dict[str, list[list[str]]] = {k: [] for k in counts}
     for row in rows.where(draw < chance * (1 << 20)).select("lang", part, F.xxhash64("doc_id").alias("h")).orderBy("h").collect():
-        samples[row.lang].append([x for w in row.part.lower().split() if (x := letters(w))])
+        samples[row.lang].append(pieces([x for w in row.part.lower().split() if (x := letters(w))]))
     return fit(samples)
 
 
@@ -210,7 +223,7 @@ class WordScores:
             if len(self.rows) > REMEMBERED:
                 self.forget()
             new = list(dict.fromkeys(w for w in words if w not in self.rows))
-            bare = list(map(letters, new))
+            bare = list(map(letters, new))  # no longer than a piece
             spelled = [k for k, w in enumerate(bare) if w]
             at = np.zeros(len(new), dtype=np.int64)
             at[spelled] = np.arange(len(self.table), len(self.table) + len(spelled))
@@ -228,7 +241,7 @@ def label(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str =
     languages = [*chain.languages, UNKNOWN]
 
     def portion(scores: WordScores, texts: list[str]) -> tuple[list[str], np.ndarray, list[list[dict]]]:
-        words = [t.lower().split() for t in texts]
+        words = [pieces(t.lower().split()) for t in texts]
         lengths = np.array([len(x) for x in words])
         row = scores.lookup([w for x in words for w in x])
         spelled = row > 0

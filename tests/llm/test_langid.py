@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from meterline.llm.langid import BUCKETS, Chain, fit, label, letters, train
+from meterline.llm.langid import BUCKETS, LONGEST_PIECE, Chain, fit, label, letters, pieces, train
 
 
 def test_marginals_equal_the_sum_over_all_labellings():
@@ -67,3 +67,24 @@ def test_documents(spark):
     assert (got.lang_pred == got.lang).mean() > 0.97
     assert got.score.between(0, 1).all()
     assert (got.runs.map(lambda r: sum(x["words"] for x in r)) == got.text.str.split().map(len)).all()
+
+
+def test_pieces():
+    long = "".join(chr(0x4E00 + k) for k in range(1000))
+    for word in ("a" * 33, "b" * 64, long, f"1{long}!2{long}"):
+        got = pieces(["x", word, "12" * 40])
+        assert got[0] == "x" and got[-1] == "12" * 40 and "".join(got[1:-1]) == letters(word)
+        assert all(LONGEST_PIECE // 2 <= len(x) <= LONGEST_PIECE for x in got[1:-1])
+    kept = ["", "a" * 32, "12" * 40, "1-" * 40 + "a" * 32]
+    assert pieces(kept) == kept and pieces([]) == []
+
+
+def test_every_letter_of_a_text_without_spaces_counts(spark):
+    rng = np.random.default_rng(2)
+    word = lambda parts, n=200: "".join(rng.choice(parts, n))
+    x, y = ["ka", "ko", "ki"], ["lem", "lum", "lo"]
+    chain = fit({k: [pieces([word(v)]) for _ in range(20)] for k, v in (("x", x), ("y", y))}, sequences=400)
+    rows = [(1, word(x, 20) + word(y, 900) + word(x, 20)), (2, word(y, 20) + word(x, 900) + word(y, 20)), (3, word(x))]
+    got = {r.doc_id: r for r in label(spark.createDataFrame(rows, "doc_id long, text string"), chain).collect()}
+    assert [got[k].lang_pred for k in (1, 2, 3)] == ["y", "x", "x"]
+    assert [x.lang for x in got[1].runs] == ["x", "y", "x"] and got[1].score < 1
