@@ -9,7 +9,8 @@ exact similarity: shared over all shingles, each weighted by how often it
 occurs. Everything is a DataFrame operation.
 
 Words are runs of letters and digits in lower case; a shingle is five of them,
-or all words of a text that has fewer.
+or all words of a text that has fewer. For items of fewer words, runs of as
+many words of the documents are looked up too.
 
 Defined results: documents and items without words match nothing; rows with
 equal id and text count as one document, documents without an id are matched
@@ -45,6 +46,16 @@ def shingles(parts: Column) -> Column:
     return F.when(n == 0, F.array().cast("array<bigint>")).when(n <= SHINGLE, F.array(F.xxhash64(parts))).otherwise(every)
 
 
+def placed_shingles(parts: Column, sizes: list[int]) -> Column:
+    """Each run of as many words as one of ``sizes`` says: its first word's place and its hash, as ``shingles`` has it."""
+
+    def of(size: int) -> Column:
+        runs = F.transform(F.sequence(F.lit(0), F.size(parts) - size), lambda k: F.struct(k.alias("at"), F.xxhash64(F.slice(parts, k + 1, F.lit(size))).alias("shingle")))
+        return F.when(F.size(parts) >= size, runs).otherwise(F.array().cast("array<struct<at: int, shingle: bigint>>"))
+
+    return F.concat(*map(of, sizes))
+
+
 def simhash(hashes: Column) -> Column:
     """Each bit is that of most shingles, a shingle counting as often as it occurs."""
 
@@ -92,12 +103,16 @@ def contaminations(
     if fits_broadcast(item_places, BROADCAST_SHINGLES):
         item_places = F.broadcast(item_places)
     source = texts(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text")).withColumn("doc_words", words(F.col("text")))
-    placed = source.select("doc_id", "text_hash", F.size("doc_words").alias("doc_n"), F.posexplode(shingles(F.col("doc_words"))).alias("at", "shingle"))
+    sizes = sorted(r.size for r in items.select(F.least("n_words", F.lit(SHINGLE)).alias("size")).distinct().collect())  # five at most
+    placed = source.select("doc_id", "text_hash", F.size("doc_words").alias("doc_n"), F.inline(placed_shingles(F.col("doc_words"), sizes or [SHINGLE])))
     last = F.greatest(F.lit(0), F.col("doc_n") - F.col("n_words"))
     begin = F.least(last, F.greatest(F.lit(0), F.col("at") - F.col("place")))
     # a window this similar shares at least that part of the item's shingles
     hits = placed.join(item_places, "shingle").groupBy("doc_id", "text_hash", "item_id", "n_words", "n_shingles")
-    hits = hits.agg(F.count("*").alias("hits"), F.collect_set(begin).alias("begins")).where(F.col("hits") >= least * F.col("n_shingles"))
+    # all windows equal to an item of one shingle are alike, and the first of them is the best
+    several = F.collect_set(F.when(F.col("n_shingles") > 1, begin))
+    begins = F.when(F.col("n_shingles") > 1, several).otherwise(F.array(F.min(begin))).alias("begins")
+    hits = hits.agg(F.count("*").alias("hits"), begins).where(F.col("hits") >= least * F.col("n_shingles"))
     wanted = hits.groupBy(F.col("doc_id").alias("hit_id"), F.col("text_hash").alias("hit_hash"))
     wanted = wanted.agg(F.collect_set(F.struct("item_id", "n_words", "begins")).alias("wanted"))
     same = F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("text_hash") == F.col("hit_hash"))

@@ -100,3 +100,24 @@ def test_tables(spark):
     known = [(r.item_id, r.text) for r in items.collect()]
     near = [(d, t) for d, t in texts if any(set(shingles(cut(t))) & set(shingles(cut(i))) for _, i in known)]
     assert got == brute(near, known)
+
+
+def test_items_of_few_words_inside_longer_texts(spark):
+    items = [*ITEMS, (7, "one"), (8, "two words"), (9, "three of them"), (9, "Zwei Wörter"), (10, "Three of THEM!"), (11, "w5 w6 w7 w8 w9")]
+    rows = [
+        (20, f"{FILL} four words only here {FILL}"),
+        (21, "two words, two words and two words; one one " * 40),
+        (22, "here are three of them"),
+        (23, "Four words only. Here! Only"),
+        (24, "four words only"),
+        (25, "zwei wörter three of"),
+        (26, "one"),
+        (27, "two  words"),
+        (28, "words two"),
+    ]
+    docs, known = frames(spark, DOCS + rows, items)
+    got = contaminations(docs, known).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == brute(DOCS + rows, items)
+    assert {(20, 2), (21, 7), (21, 8), (22, 9), (22, 10), (23, 2), (25, 9), (26, 7), (27, 8)} <= {(r.doc_id, r.item_id) for r in got}
+    where = {(r.doc_id, r.item_id): (r.begin, r.n_words, r.similarity) for r in got}
+    assert where[20, 2] == (300, 4, 1.0) and where[21, 8] == (0, 2, 1.0) and where[25, 9] == (0, 2, 1.0)
