@@ -15,7 +15,7 @@ than the two named are left behind.
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -50,6 +50,24 @@ RULES = (
     Rule("url_password", r"[a-z][a-z0-9+.-]{1,20}://[^\s/:@]{1,200}:[^\s/@]{1,200}@"),
 )
 
+#: Between the lines of a key: white space, marks of quotations, line ends as a string literal has them.
+_BETWEEN = r"""(?:[\s"',>]|\\[nrt])*+"""
+#: What follows the first line of a private key: all up to its last line, or without that (the next dashes are
+#: of something else) the headers and base64 lines there are, the last of which may be short.
+KEY_BODY = (
+    r"(?:(?:[^-]|-(?!----))*+-----END [A-Z ]{0,40}PRIVATE KEY-----"
+    rf"|(?:{_BETWEEN}(?:Proc-Type|DEK-Info):[^\r\n\\]*+)*+(?:{_BETWEEN}[A-Za-z0-9+/=]{{16,}}+)*+"
+    r"""(?:["']?+[\x20\t]*+(?:\r?\n|(?:\\r)?\\n)[\x20\t"'>]*+[A-Za-z0-9+/=]{1,15}+(?=["',]*+[\x20\t]*+(?:[\r\n\\]|$)))?+)"""
+)
+
+#: By kind, what is taken out of texts where the rule that finds the place takes less: the body of a key, a long user or password.
+WHOLE = {
+    "private_key": r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----" + KEY_BODY,
+    "url_password": r"[a-z][a-z0-9+.-]{1,20}://[^\s/:@]++:[^\s/@]++@",
+}
+#: The rules of the scan (which its SQL shares) for redaction.
+WHOLE_RULES = tuple(replace(rule, pattern=WHOLE.get(rule.kind, rule.pattern)) for rule in RULES)
+
 
 def trigram_query(pattern: str) -> list[frozenset[str]] | None:
     """The alternatives of trigrams, in lower case, one of which every match contains; None if there is no such query."""

@@ -16,7 +16,7 @@ from meterline.llm.common import read_table, stored
 from meterline.llm.queries_bpe import RANKS, digests
 from meterline.llm.queries_quality import ACCEPTED, folds
 from meterline.llm.quality import fit_and_score
-from meterline.llm.secrets import redact, scan
+from meterline.llm.secrets import WHOLE_RULES, redact, scan
 from meterline.operators.joins import fits_broadcast
 
 #: Up to so many ids of documents that go are broadcast.
@@ -61,8 +61,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with secrets replaced by a mark; the length follows the text, which stays null where it was."""
-    found = scan(docs, keep=DOCUMENT[1:]).withColumn("clean", redact(F.col("text"), F.col("spans")))
+    """All documents, with secrets (of private keys the body too) replaced by a mark; the length follows the text, which stays null where it was."""
+    found = scan(docs, WHOLE_RULES, keep=DOCUMENT[1:]).withColumn("clean", redact(F.col("text"), F.col("spans")))
     changed = F.size("spans") > 0
     return found.select(
         "doc_id",
