@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-# The taxi kinds that file names begin with.
+# The taxi kinds that paths name.
 KINDS = ("green", "yellow")
 
 
@@ -30,19 +30,21 @@ def list_files(spark: SparkSession, pattern: str) -> list[str]:
 
 
 def file_attributes(files: DataFrame, path: str = "path") -> DataFrame:
-    """Taxi kind, year and month from file names like ``yellow_tripdata_2023-01.parquet``:
-    the kind before the first underscore, the period behind the last. The folders
-    above do not matter; files named otherwise are left out."""
-    name = F.substring_index(path, "/", -1)
-    stem = F.substring_index(name, ".parquet", 1)
-    period = F.split(F.substring_index(stem, "_", -1), "-")
+    """Taxi kind, year and month from paths like ``yellow_tripdata_2023-01.parquet``:
+    the kind that the path, folders included, names first, and the period that
+    stands right before ``.parquet``. Files without either are left out."""
+    ending = ".parquet"
+    whole = F.col(path)
+    stem = F.left(whole, F.length(whole) - len(ending))
+    period = F.right(stem, F.lit(len("2023-01")))
+    places = F.array(*(F.struct(F.locate(kind, stem).alias("at"), F.lit(kind).alias("kind")) for kind in KINDS))
     attributes = {
-        "taxi": F.substring_index(stem, "_", 1),
-        "year": F.try_element_at(period, F.lit(1)).try_cast("int"),
-        "month": F.try_element_at(period, F.lit(2)).try_cast("int"),
+        "taxi": F.array_min(F.filter(places, lambda x: x["at"] > 0))["kind"],
+        "year": F.left(period, F.lit(4)).try_cast("int"),
+        "month": F.right(period, F.lit(2)).try_cast("int"),
     }
-    named = files.filter(name.endswith(".parquet")).withColumns(attributes)
-    return named.filter(F.col("taxi").isin(*KINDS) & F.col("year").between(1000, 9999) & F.col("month").between(1, 12))
+    named = files.filter(whole.endswith(ending) & period.rlike("^[0-9]{4}-[0-9]{2}$")).withColumns(attributes)
+    return named.filter(F.col("taxi").isNotNull() & F.col("year").between(1000, 9999) & F.col("month").between(1, 12))
 
 
 def _file_system(spark: SparkSession, path: str):

@@ -118,6 +118,26 @@ def test_file_attributes(spark):
     assert [(r.taxi, r.year, r.month) for r in df.collect()] == [("yellow", 2023, 1), ("green", 2022, 12)]
 
 
+def test_file_attributes_from_anywhere_in_the_path(spark):
+    paths = {
+        "/d/yellow/tripdata_2023-01.parquet": ("yellow", 2023, 1),
+        "/d/nyc_yellow_tripdata_2023-02.parquet": ("yellow", 2023, 2),
+        "/d/green-tripdata-2023-03.parquet": ("green", 2023, 3),
+        "yellow2023-04.parquet": ("yellow", 2023, 4),
+        "/yellow/green_tripdata_2023-05.parquet": ("yellow", 2023, 5),
+        "/d/yellow_2023-13.parquet": None,
+        "/d/yellow_2023-1.parquet": None,
+        "/d/yellow_2023- 1.parquet": None,
+        "/d/yellow_2023-01.csv": None,
+        "/d/yellow_2023-01.parquet/part-0.parquet": None,
+        "/d/2023-01.parquet": None,
+        ".parquet": None,
+        "x": None,
+    }
+    got = file_attributes(spark.createDataFrame([(p,) for p in paths], "path string")).collect()
+    assert {r.path: (r.taxi, r.year, r.month) for r in got} == {p: v for p, v in paths.items() if v}
+
+
 def test_zone_csv(spark, tmp_path):
     write_csv(zones(spark), str(tmp_path / "z"), sep=";")
     back = read_zones(spark, str(tmp_path / "z"), sep=";")
