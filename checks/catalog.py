@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.feeds import GREEN_STEM, YELLOW_STEM, green_feed, table, yellow_feed, zone_feed
@@ -26,6 +26,7 @@ from meterline.operators.sample import preview, top_per_group
 from meterline.operators.union import union_by_name
 from meterline.operators.validate import trip_contract, violations
 from meterline.plans import gold, maintenance
+from meterline.plans.maintenance import file_listing
 from meterline.plans.steps import Context, run_steps
 from meterline.plans.trips import run_pipeline
 from meterline.session import configure, scratch_path
@@ -293,7 +294,7 @@ def silver_from_files(spark, folder):
     trips = run_pipeline(
         spark, list_files(spark, f"{place}/*_tripdata_1997*.parquet"), zone_lookup=zone_feed(spark, folder), context=context
     )
-    return naive(trips.distinct())
+    return naive(trips)
 
 
 @query
@@ -481,7 +482,7 @@ def dictionary_gaps(spark, folder):
 @query
 def dataset_facets(spark, folder):
     facets = schema.dataset_facets(
-        silver(spark, folder), "silver_trips", TRIP_DICTIONARY, source_uri="silver", overwritten=True
+        silver(spark, folder), "silver_trips", TRIP_DICTIONARY, source_uri="silver", owner="lake team", overwritten=True
     )
     return facets.drop("description")
 
@@ -614,11 +615,15 @@ def dedup_stream(spark, folder):
 
 @query
 def late_events(spark, folder):
-    """Three micro-batches, the newest days first, each with the one before delivered again."""
+    """Three micro-batches, the newest days first, each with the one before delivered again.
+
+    Purchases lose their time and sign-ups their id, so that either can be missing."""
     place = scratch_path(spark, "late")
     events = table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    part = F.ntile(3).over(Window.partitionBy("event_type").orderBy(F.col("ts").desc(), "event_id"))
-    parts = events.withColumn("part", part)
+    part = F.when(F.col("ts") >= F.lit("2024-01-21").cast("timestamp"), 1).when(F.col("ts") >= F.lit("2024-01-11").cast("timestamp"), 2).otherwise(3)
+    parts = events.withColumn("part", part).withColumns(
+        {"ts": F.when(F.col("event_type") != "purchase", F.col("ts")), "event_id": F.when(F.col("event_type") != "signup", F.col("event_id"))}
+    )
     store = EventStore(f"{place}/store", ["event_id"], "ts")
     for n in (1, 2, 3):
         parts.filter(F.col("part").isin(n, n - 1)).drop("part").write.parquet(f"{place}/landing/{n}")
@@ -646,13 +651,14 @@ def ingest_stream(spark, folder):
     land(yellow_feed(spark, folder), f"{place}/landing", YELLOW_STEM)
     land(green_feed(spark, folder), f"{place}/landing", GREEN_STEM)
     _ingest(spark, folder, place, max_files=50)
-    trips = spark.read.parquet(f"{place}/silver").drop("stream_id", "batch_id").distinct()
+    trips = spark.read.parquet(f"{place}/silver")
     return trips.groupBy("origin", "year", "month").agg(F.count("*").alias("n_trips"))
 
 
 @query
 def bad_file(spark, folder):
     place = scratch_path(spark, "bad")
+    kind = F.regexp_extract("path", r"([a-z]+)_tripdata", 1)
     green_rows, yellow_rows = green_feed(spark, folder), yellow_feed(spark, folder)
     land(green_rows, f"{place}/landing", GREEN_STEM)
     # Every trip of this file has a vendor outside the list, so the file breaks the contract.
@@ -663,13 +669,13 @@ def bad_file(spark, folder):
         spark, zone_feed(spark, folder), f"{place}/silver", f"{place}/dead_letter", Context(rules=rules)
     )
     start_ingest(landing_files(spark, f"{place}/landing"), loader, f"{place}/checkpoint", None).awaitTermination()
-    letters = spark.read.parquet(f"{place}/dead_letter").select(
-        F.col("reason").alias("outcome"),
-        F.regexp_extract("source_file", r"([a-z]+)_tripdata", 1).alias("name"),
-        F.lit(None).cast("bigint").alias("n_trips"),
-    )
-    loaded = spark.read.parquet(f"{place}/silver").drop("stream_id", "batch_id").distinct().groupBy(F.col("origin").alias("name")).agg(F.count("*").alias("n_trips"))
-    return union_by_name([letters.distinct(), loaded.withColumn("outcome", F.lit("loaded"))])
+    landed = file_listing(spark, f"{place}/landing").select(kind.alias("name")).groupBy("name").agg(F.count("*").alias("landed"))
+    letters = spark.read.parquet(f"{place}/dead_letter").withColumnRenamed("source_file", "path")
+    letters = letters.groupBy(F.col("reason").alias("outcome"), kind.alias("name")).agg(F.count("*").alias("letters"))
+    # As many letters as files: each bad file has one, and only one.
+    letters = letters.join(landed, "name").select("outcome", "name", (F.col("letters") == F.col("landed")).alias("each_once"), F.lit(None).cast("bigint").alias("n_trips"))
+    loaded = spark.read.parquet(f"{place}/silver").groupBy(F.col("origin").alias("name")).agg(F.count("*").alias("n_trips"))
+    return union_by_name([letters, loaded.withColumns({"outcome": F.lit("loaded"), "each_once": F.lit(None).cast("boolean")})])
 
 
 # --- maintenance ----------------------------------------------------------------

@@ -391,7 +391,7 @@ WHERE column_name IN ('tpep_pickup_datetime', 'tpep_dropoff_datetime', 'trip_dis
                       'PULocationID', 'DOLocationID')""",
     "dataset_facets": f"""
 SELECT 'meterline' AS namespace, 'silver_trips' AS dataset, 'silver' AS source_uri, 'parquet' AS file_format,
-       'data-engineering-team' AS owner, 'OVERWRITE' AS lifecycle_change, column_name,
+       'lake team' AS owner, 'OVERWRITE' AS lifecycle_change, column_name,
        CAST(row_number() OVER (ORDER BY column_name = 'trip_type' OR column_name = 'trip_type_id'
                                OR column_name = 'mta_tax', column_name) AS INTEGER) AS position,
        CASE {TYPES} WHEN 'timestamp_ntz' THEN 'timestamp' ELSE {TYPES} END AS type, n_values
@@ -416,9 +416,9 @@ GROUP BY output_column""",
 SELECT origin, CAST(year(pickup_datetime) AS INTEGER) AS year, CAST(month(pickup_datetime) AS INTEGER) AS month,
        count(*) AS n_trips FROM (SELECT DISTINCT * FROM silver WHERE {CONTRACT_PASS}) GROUP BY ALL""",
     "bad_file": f"""
-SELECT 'loaded' AS outcome, origin AS name, count(*) AS n_trips
+SELECT 'loaded' AS outcome, origin AS name, NULL AS each_once, count(*) AS n_trips
 FROM (SELECT DISTINCT * FROM silver WHERE {CONTRACT_PASS} AND origin_id = 2) GROUP BY ALL
-UNION ALL SELECT 'contract', 'yellow', NULL UNION ALL SELECT 'unreadable', 'broken', NULL""",
+UNION ALL SELECT 'contract', 'yellow', true, NULL UNION ALL SELECT 'unreadable', 'broken', true, NULL""",
     "broken_rule_names": f"""
 SELECT pickup_datetime, fare_amount, ratecode_id, payment_type_id, {BROKEN} AS broken FROM green""",
 }
@@ -493,7 +493,7 @@ GROUP BY ALL""",
 SELECT 0 AS depth, 'job' AS job_name, CAST(NULL AS VARCHAR) AS parent_name, CAST(NULL AS VARCHAR) AS root_name,
        'job-' || c_custkey AS top, count(*) AS n_runs FROM customer GROUP BY c_custkey
 UNION ALL SELECT 1, 'file', 'job', NULL, 'job-' || o_custkey, count(*) FROM orders GROUP BY o_custkey
-UNION ALL SELECT 2, 'step', 'file', 'job', 'job-' || o_custkey, count(*)
+UNION ALL SELECT 2, 'step', 'file', 'job', 'job-' || o_custkey, count(DISTINCT (l_orderkey, l_linenumber, l_partkey))
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey""",
     "event_batches": """
 SELECT batch_window, CAST(floor(before / 64) AS BIGINT) AS batch_no, count(*) AS n_events,
@@ -503,7 +503,10 @@ FROM (SELECT batch_window, bytes, coalesce(sum(bytes) OVER (
       FROM (SELECT *, time_bucket(INTERVAL '6 hours', ts) AS batch_window, strlen(props) AS bytes FROM events))
 GROUP BY ALL""",
     "dedup_stream": "SELECT * FROM events",
-    "late_events": "SELECT * FROM events",
+    "late_events": """
+SELECT DISTINCT CASE WHEN event_type <> 'signup' THEN event_id END AS event_id,
+       CASE WHEN event_type <> 'purchase' THEN ts END AS ts, user_id, event_type, value, props
+FROM events""",
     "touched_days_events": "SELECT DISTINCT CAST(ts AS DATE) AS day FROM events WHERE ts > TIMESTAMP '2024-01-20 12:00:00'",
     "touched": """
 SELECT DISTINCT CAST(ts AS DATE) AS day, event_type FROM events WHERE ts > TIMESTAMP '2024-01-20 12:00:00'""",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,22 +35,33 @@ class EventStore:
     Copies of an event carry its time, so a batch is compared with the stored
     days that its events lie in, and nothing has to be remembered or given up. A
     repeated batch replaces what it wrote.
+
+    Where a part of its id is missing, an event is known by all its columns instead,
+    so that no two different ones are taken for one. Events without a time share a
+    day of their own.
     """
 
     def __init__(self, path: str, ids: Sequence[str], ts: str):
         self.path, self.ids, self.ts = path, list(ids), ts
 
+    def _key(self, columns: Sequence[str]) -> Column:
+        whole = F.sha2(F.to_json(F.struct(*sorted(columns)), {"ignoreNullFields": "false"}), 256)
+        unknown = reduce(lambda a, b: a | b, (F.col(c).isNull() for c in self.ids))
+        return F.struct(*self.ids, F.when(unknown, whole).alias("whole"))
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
-        fresh = batch.dropDuplicates(self.ids).withColumn("day", F.to_date(self.ts))
+        key = self._key(batch.columns)
+        fresh = batch.withColumns({"day": F.to_date(self.ts), "_key": key}).dropDuplicates(["_key"])
         if exists(spark, self.path):
             own = (F.col("stream_id") == stream) & (F.col("batch_id") == batch_id)
+            days = fresh.select(F.col("day").alias("_day")).distinct()
             stored = spark.read.parquet(self.path).filter(~own)
-            known = stored.join(fresh.select("day").distinct(), "day", "left_semi").select(*self.ids)
-            fresh = fresh.join(known, self.ids, "left_anti")
+            known = stored.join(days, F.col("day").eqNullSafe(F.col("_day")), "left_semi").select(key.alias("_known"))
+            fresh = fresh.join(known, F.col("_key").eqNullSafe(F.col("_known")), "left_anti")
         place = {"stream_id": F.lit(stream), "batch_id": F.lit(batch_id).cast("bigint")}
-        write_partitioned(fresh.withColumns(place), self.path, ("day", "stream_id", "batch_id"), replace="touched")
+        write_partitioned(fresh.drop("_key").withColumns(place), self.path, ("day", "stream_id", "batch_id"), replace="touched")
 
 
 def assign_batches(

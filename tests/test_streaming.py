@@ -6,7 +6,7 @@ from meterline.plans.trips import run_pipeline
 from meterline.sources.files import file_table
 from meterline.streaming.events import drop_redeliveries, touched_days
 from meterline.streaming.ingest import BatchLoader, landing_files, start_ingest
-from tests.trips import green, green_row, write_file, yellow, yellow_row, zones
+from tests.trips import NOON, green, green_row, write_file, yellow, yellow_row, zones
 
 
 class Lake:
@@ -147,3 +147,28 @@ def test_a_new_checkpoint_keeps_what_is_there(lake):
     lake.loader.load(paths[:1], 0, "first")
     lake.loader.load(paths[1:], 0, "second")
     assert lake.silver().count() == 4
+
+
+def test_store_keeps_events_without_id_or_time_once(spark, tmp_path):
+    from meterline.streaming.events import EventStore
+
+    noon = NOON.replace(tzinfo=None)
+    rows = [(1, noon, "a"), (None, noon, "no id"), (2, None, "no time"), (None, None, "neither"), (None, noon, "no id")]
+    events = spark.createDataFrame(rows, "id long, ts timestamp, what string")
+    store = EventStore(f"{tmp_path}/store", ["id"], "ts")
+    for batch_id in (0, 1, 2, 2):
+        store(events, batch_id)
+    assert sorted(r.what for r in spark.read.parquet(f"{tmp_path}/store").collect()) == ["a", "neither", "no id", "no time"]
+
+
+def test_only_conditions_make_a_fault_of_a_file(spark, tmp_path):
+    from meterline.streaming.ingest import is_file_fault
+
+    assert not is_file_fault(RuntimeError("lost a disk while it said [CAST_OVERFLOW]"))
+    whole = write_file(yellow(spark, *[yellow_row()] * 5000), tmp_path, "cut")
+    with open(whole, "r+b") as file:  # the footer stays, the pages are spoiled
+        file.seek(8)
+        file.write(b"\xff" * 400)
+    with pytest.raises(Exception) as caught:
+        spark.read.parquet(whole).collect()
+    assert is_file_fault(caught.value)
