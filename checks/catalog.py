@@ -19,7 +19,7 @@ from meterline.functions.names import snake_case_text
 from meterline.functions.rules import broken_rules, trip_rules
 from meterline.operators import columns as cols
 from meterline.operators import lineage, schema
-from meterline.operators.clean import clean, drop_copies, quarantine_split, reject_report
+from meterline.operators.clean import BROKEN, clean, drop_copies, quarantine_split, reject_report
 from meterline.operators.joins import decode_by_join, fits_broadcast, join_zones, orphan_keys, star_join, star_split
 from meterline.operators.profile import column_profile, columns_with_values, output_statistics, table_checks
 from meterline.operators.sample import preview, top_per_group
@@ -33,6 +33,7 @@ from meterline.session import configure, scratch_path
 from meterline.sources.files import file_attributes, list_files
 from meterline.sources.sinks import write_csv, write_gold, write_partitioned
 from meterline.sources.trips import SOURCE, STEM, scan_trips
+from meterline.sources.versions import VersionedTable
 from meterline.sources.zones import read_zones, shape_zones
 from meterline.streaming.events import EventStore, assign_batches, drop_redeliveries, touched_days
 from meterline.streaming.ingest import BatchLoader, landing_files, start_ingest
@@ -655,6 +656,35 @@ def ingest_stream(spark, folder):
     return trips.groupBy("origin", "year", "month").agg(F.count("*").alias("n_trips"))
 
 
+def _published(spark, folder, place, rules):
+    """Both feeds, as files, through the stream into a versioned table; the batch is then replayed."""
+    table_ = VersionedTable(spark, f"{place}/silver")
+    land(yellow_feed(spark, folder), f"{place}/landing", YELLOW_STEM)
+    land(green_feed(spark, folder), f"{place}/landing", GREEN_STEM)
+    loader = BatchLoader(spark, zone_feed(spark, folder), table_, f"{place}/dead_letter", Context(rules=rules))
+    start_ingest(landing_files(spark, f"{place}/landing", max_files=1000), loader, f"{place}/checkpoint", None).awaitTermination()
+    name = table_.version().names()[0]
+    stream, batch = name.split("/")
+    loader.load(list_files(spark, f"{place}/landing/*.parquet"), int(batch), stream)
+    return table_
+
+
+@query
+def quarantine_rows(spark, folder):
+    """Every distinct row is on one of the two sides, the rejected ones with the rules they break."""
+    table_ = _published(spark, folder, scratch_path(spark, "routed"), passing_rules())
+    sides = [table_.read(v, keep=[BROKEN]).select(F.lit(v).alias("verdict"), "origin", F.concat_ws(",", BROKEN).alias("broken"), F.month("pickup_datetime").alias("month")) for v in ("accepted", "rejected")]
+    return union_by_name(sides).groupBy("verdict", "origin", "broken", "month").agg(F.count("*").alias("n_rows"))
+
+
+@query
+def published_sources(spark, folder):
+    """What the manifest of the newest version says of each kind of source file."""
+    table_ = _published(spark, folder, scratch_path(spark, "manifest"), passing_rules())
+    kind = F.regexp_extract("source", r"([a-z]+)_tripdata", 1)
+    return table_.manifest().groupBy(kind.alias("kind"), "verdict").agg(F.sum("n_rows").alias("n_rows"))
+
+
 @query
 def bad_file(spark, folder):
     place = scratch_path(spark, "bad")

@@ -139,6 +139,16 @@ KEEP = " AND ".join(f"({rule})" for rule in RULES.values())
 BROKEN = "concat_ws(',', {})".format(
     ", ".join(f"CASE WHEN NOT coalesce({rule}, false) THEN '{name}' END" for name, rule in RULES.items())
 )
+LISTED = {
+    "vendor_listed": "vendor_id IN (1, 2, 6, 7)",
+    "rate_listed": "ratecode_id IN (1, 2, 3, 4, 5, 6)",
+    "payment_listed": "payment_type_id BETWEEN 0 AND 6",
+    "fare_present": "fare_amount IS NOT NULL",
+    "total_present": "total_amount IS NOT NULL",
+}
+ALL_BROKEN = "concat_ws(',', {})".format(
+    ", ".join(f"CASE WHEN NOT coalesce({rule}, false) THEN '{name}' END" for name, rule in {**RULES, **LISTED}.items())
+)
 CONTRACT_PASS = (
     "vendor_id IN (1, 2, 6, 7) AND ratecode_id IN (1, 2, 3, 4, 5, 6) AND payment_type_id BETWEEN 0 AND 6 "
     "AND fare_amount IS NOT NULL AND total_amount IS NOT NULL"
@@ -415,6 +425,16 @@ GROUP BY output_column""",
     "ingest_stream": f"""
 SELECT origin, CAST(year(pickup_datetime) AS INTEGER) AS year, CAST(month(pickup_datetime) AS INTEGER) AS month,
        count(*) AS n_trips FROM (SELECT DISTINCT * FROM silver WHERE {CONTRACT_PASS}) GROUP BY ALL""",
+    "quarantine_rows": f"""
+SELECT CASE WHEN broken = '' THEN 'accepted' ELSE 'rejected' END AS verdict, origin, broken,
+       CAST(month(pickup_datetime) AS INTEGER) AS month, count(*) AS n_rows
+FROM (SELECT pickup_datetime, origin, {ALL_BROKEN} AS broken FROM (
+  SELECT DISTINCT * FROM yellow UNION ALL BY NAME SELECT DISTINCT * FROM green))
+GROUP BY ALL""",
+    "published_sources": f"""
+SELECT CASE origin_id WHEN 1 THEN 'yellow' ELSE 'green' END AS kind,
+       CASE WHEN {ALL_BROKEN} = '' THEN 'accepted' ELSE 'rejected' END AS verdict, count(*) AS n_rows
+FROM (SELECT DISTINCT * FROM yellow UNION ALL BY NAME SELECT DISTINCT * FROM green) GROUP BY ALL""",
     "bad_file": f"""
 SELECT 'loaded' AS outcome, origin AS name, NULL AS each_once, count(*) AS n_trips
 FROM (SELECT DISTINCT * FROM silver WHERE {CONTRACT_PASS} AND origin_id = 2) GROUP BY ALL

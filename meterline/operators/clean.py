@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 from meterline.functions.rules import Rules, all_hold, broken_rules, holds
 
 
+#: Holds the names of the rules that a row breaks.
+BROKEN = "_broken"
+
+
 def keep_rows(df: DataFrame, rules: Rules) -> DataFrame:
     return df.filter(reduce(lambda kept, rule: kept & rule, rules.values())) if rules else df
 
@@ -29,6 +33,11 @@ def clean(df: DataFrame, rules: Rules, dropped: tuple[str, ...] = ()) -> DataFra
     return drop_copies(keep_rows(df, rules)).drop(*dropped)
 
 
+def mark_rows(df: DataFrame, rules: Rules, column: str = BROKEN) -> DataFrame:
+    """The distinct rows, each with the names of the rules it breaks: none means accepted."""
+    return drop_copies(df).withColumn(column, broken_rules(rules))
+
+
 def quarantine_split(df: DataFrame, rules: Rules, column: str = "broken") -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected): together exactly the distinct input rows.
 

@@ -91,27 +91,32 @@ def schema_violations(df: DataFrame, contract: Contract) -> list[tuple[str, str,
 
 
 def _value_checks(name: str, check: ColumnCheck) -> dict[str, Column]:
-    value, counts = F.col(name), {}
+    value, broken = F.col(name), {}
     if not check.nullable:
-        counts["not_null"] = F.count_if(value.isNull())
+        broken["not_null"] = value.isNull()
     if check.values:
-        counts["in_list"] = F.count_if(~value.isin(*check.values))
+        broken["in_list"] = ~value.isin(*check.values)
     if check.low is not None:
-        counts["at_least"] = F.count_if(value < check.low)
+        broken["at_least"] = value < check.low
     if check.high is not None:
-        counts["at_most"] = F.count_if(value > check.high)
-    return counts
+        broken["at_most"] = value > check.high
+    return broken
 
 
-def check_counts(df: DataFrame, contract: Contract) -> list[tuple[str, str, Column]]:
-    """(rule, column, aggregate giving the number of failures)."""
-    counts: list[tuple[str, str, Column]] = []
+def row_checks(df: DataFrame, contract: Contract) -> list[tuple[str, str, Column]]:
+    """(rule, column, condition that is TRUE for a row that fails)."""
+    checks: list[tuple[str, str, Column]] = []
     for name, check in contract.columns.items():
         if name in df.columns:
-            counts += [(rule, name, agg) for rule, agg in _value_checks(name, check).items()]
+            checks += [(rule, name, broken) for rule, broken in _value_checks(name, check).items()]
     for rule, column in contract.rules.items():
-        broken = ~holds(column) if rule in contract.strict else ~column
-        counts.append((rule, "*", F.count_if(broken)))
+        checks.append((rule, "*", ~holds(column) if rule in contract.strict else ~column))
+    return checks
+
+
+def check_counts(df: DataFrame, contract: Contract) -> list[tuple[str, str, Column]]:
+    """(rule, column, aggregate giving the number of failures)."""
+    counts = [(rule, name, F.count_if(broken)) for rule, name, broken in row_checks(df, contract)]
     if contract.not_empty:
         counts.append(("not_empty", "*", F.when(F.count("*") == 0, 1).otherwise(0)))
     if contract.no_null_columns:
@@ -188,3 +193,40 @@ class WriteCheck:
         failed = self.failures()
         if failed:
             raise ContractError(failed)
+
+
+class FileCheck:
+    """The contract by source, checked while a write runs.
+
+    ``frame`` goes to the writer. What comes back to the driver is, for each
+    check, the sources that fail it: a source per file at most, and in a sound
+    batch none. Only accepted rows are checked; a source without any fails
+    ``not_empty``.
+    """
+
+    def __init__(self, df: DataFrame, contract: Contract, source: str, accepted: Column, sources: frozenset[str]):
+        self._contract, self._sources = contract, sources
+        self._checks = row_checks(df, contract)
+        self._static = schema_violations(df, contract)
+        self._observation = Observation()
+        blamed = (F.collect_set(F.when(accepted & broken, F.col(source))).alias(f"c{i}") for i, (_, _, broken) in enumerate(self._checks))
+        self.frame = df.observe(
+            self._observation,
+            F.count_if(accepted).alias("accepted"),
+            F.count_if(~accepted).alias("rejected"),
+            F.collect_set(F.when(accepted, F.col(source))).alias("present"),
+            *blamed,
+        )
+
+    def rows(self) -> dict[str, int]:
+        seen = self._observation.get
+        return {side: seen[side] for side in ("accepted", "rejected")}
+
+    def failed_sources(self) -> list[tuple[str, str, str]]:
+        """(source, rule, column) of each failed check."""
+        seen = self._observation.get
+        failed = [(s, rule, name) for s in self._sources for rule, name, _ in self._static]
+        failed += [(s, rule, name) for i, (rule, name, _) in enumerate(self._checks) for s in seen[f"c{i}"]]
+        if self._contract.not_empty:
+            failed += [(s, "not_empty", "*") for s in self._sources - set(seen["present"])]
+        return sorted(failed)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from meterline.config import TRIPS, TableSpec
 from meterline.functions.rules import Rules, trip_rules
 from meterline.operators import columns as cols
-from meterline.operators.clean import clean
+from meterline.operators.clean import clean, mark_rows
 from meterline.operators.joins import join_zones
 from meterline.operators.validate import Contract, trip_contract, validate
 
@@ -55,6 +55,9 @@ DEFAULT_STEPS = (
     "describe",
 )
 
+# Every row goes on with the names of the rules it breaks, and none is checked yet.
+ROUTED_STEPS = tuple("mark" if name == "clean" else name for name in DEFAULT_STEPS if name != "validate")
+
 
 def step(name: str) -> Callable[[Step], Step]:
     def register(function: Step) -> Step:
@@ -79,6 +82,12 @@ def _clean(df: DataFrame, ctx: Context) -> DataFrame:
     return clean(df, rules, ctx.spec.dropped)
 
 
+@step("mark")
+def _mark(df: DataFrame, ctx: Context) -> DataFrame:
+    rules = trip_rules() if ctx.rules is None else ctx.rules
+    return mark_rows(df, rules).drop(*ctx.spec.dropped)
+
+
 @step("join_zones")
 def _join_zones(df: DataFrame, ctx: Context) -> DataFrame:
     if ctx.zones is None:
