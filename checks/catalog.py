@@ -31,6 +31,7 @@ from meterline.plans.steps import Context, run_steps
 from meterline.plans.trips import run_pipeline
 from meterline.session import configure, scratch_path
 from meterline.sources.files import file_attributes, list_files
+from meterline.sources.footers import empty_columns, footer_table, schema_of_files
 from meterline.sources.sinks import write_csv, write_gold, write_partitioned
 from meterline.sources.trips import SOURCE, STEM, scan_trips
 from meterline.sources.versions import VersionedTable
@@ -457,6 +458,35 @@ def schema_diff_counts(spark, folder):
     return schema.overlap_counts(schema.schema_overlap(schemas, by=["year", "month"]), by=["year", "month"])
 
 
+def _two_months(spark, folder):
+    """The footers of both feeds landed for two months; February's yellow files lack a column and have an empty one."""
+    place = scratch_path(spark, "months")
+    land(yellow_feed(spark, folder), place, "yellow_tripdata", "1997-01")
+    land(green_feed(spark, folder), place, "green_tripdata", "1997-01")
+    later = yellow_feed(spark, folder).filter("PULocationID <= 25").drop("tip_amount")
+    land(later.withColumn("congestion_surcharge", F.lit(None).cast("double")), place, "yellow_tripdata", "1997-02")
+    land(green_feed(spark, folder).filter("PULocationID > 6"), place, "green_tripdata", "1997-02")
+    return file_attributes(footer_table(spark, place))
+
+
+@query
+def schema_from_files(spark, folder):
+    schemas = schema_of_files(_two_months(spark, folder), by=["taxi", "year", "month"])
+    return schemas.select("taxi", "year", "month", "column_name", "position", "type", "n_rows", "n_values")
+
+
+@query
+def columns_of_one_kind(spark, folder):
+    schemas = schema_of_files(_two_months(spark, folder), by=["taxi", "year", "month"])
+    overlap = schema.schema_overlap(schemas, by=["year", "month"], kind="taxi")
+    return schema.only_in_kind(overlap, by=["year", "month"]).withColumn("columns", F.concat_ws(",", "columns"))
+
+
+@query
+def empty_columns_of_files(spark, folder):
+    return empty_columns(_two_months(spark, folder))
+
+
 @query
 def schema_drift(spark, folder):
     old = table(spark, folder, "orders")

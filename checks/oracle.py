@@ -226,6 +226,25 @@ def _values(relation: str) -> str:
     )
 
 
+def _month(taxi: str, month: int, relation: str) -> str:
+    return f"""
+SELECT '{taxi}' AS taxi, CAST(1997 AS INTEGER) AS year, CAST({month} AS INTEGER) AS month, column_name,
+       CAST(position AS INTEGER) AS position, {TYPES} AS type, (SELECT count(*) FROM {relation}) AS n_rows, n_values
+FROM {_values(relation)} JOIN (
+  SELECT column_name, column_type, row_number() OVER () AS position FROM (DESCRIBE SELECT * FROM {relation})) USING (column_name)"""
+
+
+TWO_MONTHS = """,
+yellow_feb AS (SELECT * EXCLUDE (tip_amount), CAST(NULL AS DOUBLE) AS congestion_surcharge FROM yellow_raw WHERE PULocationID <= 25),
+green_feb AS (SELECT * FROM green_raw WHERE PULocationID > 6),
+months AS ({})
+""".format(
+    " UNION ALL ".join(
+        _month(*x) for x in [("yellow", 1, "yellow_raw"), ("green", 1, "green_raw"), ("yellow", 2, "yellow_feb"), ("green", 2, "green_feb")]
+    )
+)
+
+
 def _counts(source: str, checks: list[tuple[str, str, str]], extra: str = "") -> str:
     """One row per (rule, column, condition for a failure)."""
     return " UNION ALL ".join(
@@ -393,6 +412,12 @@ SELECT CAST(1997 AS INTEGER) AS year, CAST(1 AS INTEGER) AS month, count(*) FILT
 FROM (SELECT column_name, count(*) AS n
       FROM (SELECT * FROM {_values('yellow_raw')} UNION ALL SELECT * FROM {_values('green_raw')})
       WHERE n_values > 0 GROUP BY 1)""",
+    "schema_from_files": f"{TWO_MONTHS} SELECT * FROM months",
+    "columns_of_one_kind": f"""{TWO_MONTHS}
+SELECT year, month, any_value(taxi) AS only_in, count(*) AS n_columns, string_agg(column_name, ',' ORDER BY column_name) AS columns
+FROM (SELECT year, month, column_name, min(taxi) AS taxi FROM months GROUP BY ALL HAVING count(*) = 1) GROUP BY year, month, taxi""",
+    "empty_columns_of_files": f"""{TWO_MONTHS}
+SELECT column_name FROM months GROUP BY 1 HAVING sum(n_values) = 0""",
     "dictionary_gaps": f"""
 SELECT CASE column_name WHEN 'PULocationID' THEN 'pu_location_id' ELSE
        CASE column_name WHEN 'DOLocationID' THEN 'do_location_id' ELSE column_name END END AS column_name, n_values

@@ -1,7 +1,9 @@
-"""Schemas as tables: dictionary, gaps, overlap and drift.
+"""Schemas as tables: dictionary, gaps, overlap, drift and history.
 
 Rows come from ``df.schema``; the value counts beside them come from one
-aggregate over the data, so a column that exists but is empty shows.
+aggregate over the data, so a column that exists but is empty shows. Without
+counts nothing is read, and tables of files get both from their footers
+(:func:`meterline.sources.footers.schema_of_files`).
 """
 
 from __future__ import annotations
@@ -15,22 +17,24 @@ from meterline.functions.lookups import text_literal
 from meterline.operators.columns import non_null_counts
 
 
-def schema_table(df: DataFrame, dictionary: Mapping[str, str] | None = None) -> DataFrame:
-    """One row per column: name, position, type, description, number of values."""
+def schema_table(df: DataFrame, dictionary: Mapping[str, str] | None = None, counted: bool = True) -> DataFrame:
+    """One row per column: name, position, type, description, number of values (NULL, and no data read, if not ``counted``)."""
+    values = "`{}`" if counted else "CAST(NULL AS BIGINT)"
     rows = [
         f"struct({text_literal(f.name)} AS column_name, {position} AS position, "
         f"{text_literal(f.dataType.simpleString())} AS type, "
         f"{text_literal((dictionary or {}).get(f.name, f.metadata.get('comment')))} AS description, "
-        f"`{f.name}` AS n_values)"
+        f"{values.format(f.name)} AS n_values)"
         for position, f in enumerate(df.schema.fields, start=1)
     ]
-    return non_null_counts(df).selectExpr(f"inline(array({', '.join(rows)}))")
+    one = non_null_counts(df) if counted else df.sparkSession.range(1)
+    return one.selectExpr(f"inline(array({', '.join(rows)}))")
 
 
-def data_dictionary(tables: Mapping[str, DataFrame], dictionary: Mapping[str, str] | None = None) -> DataFrame:
+def data_dictionary(tables: Mapping[str, DataFrame], dictionary: Mapping[str, str] | None = None, counted: bool = True) -> DataFrame:
     """The schema tables of several tables under one ``table_name`` column."""
     parts = [
-        schema_table(df, dictionary).select(F.lit(name).alias("table_name"), "*")
+        schema_table(df, dictionary, counted).select(F.lit(name).alias("table_name"), "*")
         for name, df in tables.items()
     ]
     result = parts[0]
@@ -73,6 +77,14 @@ def overlap_counts(overlap: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def only_in_kind(overlap: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Per group and kind: how many columns only that kind has, and which."""
+    single = overlap.filter(F.size("kinds") == 1).withColumn("only_in", F.col("kinds")[0])
+    return single.groupBy(*by, "only_in").agg(
+        F.count("*").alias("n_columns"), F.array_sort(F.collect_set("column_name")).alias("columns")
+    )
+
+
 def drift(old: DataFrame, new: DataFrame) -> DataFrame:
     """Compare two schema tables: columns added, dropped, retyped or unchanged."""
     left = old.select("column_name", F.col("type").alias("old_type"), F.col("n_values").alias("old_values"))
@@ -96,10 +108,15 @@ def dataset_facets(
     source_uri: str = "",
     owner: str = "",
     overwritten: bool = False,
+    schema: DataFrame | None = None,
 ) -> DataFrame:
-    """A snapshot of one dataset: per-column facts plus where it lives and who owns it."""
+    """A snapshot of one dataset: per-column facts plus where it lives and who owns it.
+
+    ``schema`` gives a schema table that is there already, from footers for instance; ``df`` is then not read.
+    """
     change = "OVERWRITE" if overwritten else None
-    return schema_table(df, dictionary).select(
+    known = schema_table(df, dictionary) if schema is None else _described(schema, dictionary)
+    return known.select(
         F.lit(namespace).alias("namespace"),
         F.lit(name).alias("dataset"),
         F.lit(source_uri).alias("source_uri"),
@@ -112,3 +129,8 @@ def dataset_facets(
         "description",
         "n_values",
     )
+
+
+def _described(schema: DataFrame, dictionary: Mapping[str, str] | None) -> DataFrame:
+    words = schema.sparkSession.createDataFrame(list((dictionary or {}).items()), "column_name string, description string")
+    return schema.drop("description").join(F.broadcast(words), "column_name", "left")  # a row per described column

@@ -57,6 +57,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(handle)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    fs, handle = _file_system(spark, path)
+    return fs.exists(handle) and fs.getFileStatus(handle).isDirectory()
+
+
 def move(spark: SparkSession, source: str, target: str) -> None:
     fs, handle = _file_system(spark, source)
     goal = spark._jvm.org.apache.hadoop.fs.Path(target)

@@ -1,0 +1,89 @@
+"""Footers as a table against scans of the same files."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from meterline.operators import schema
+from meterline.sources import footers as source
+from meterline.sources import trips
+from meterline.sources.files import file_attributes
+from meterline.sources.footers import empty_columns, footer_table, schema_of_files
+from tests.trips import green, green_row, write_file, yellow, yellow_row
+
+
+@pytest.fixture
+def lake(spark, tmp_path):
+    write_file(yellow(spark, yellow_row(), yellow_row(passenger_count=None)), tmp_path, "yellow_tripdata_2023-01")
+    write_file(green(spark, green_row()), tmp_path, "green_tripdata_2023-01")
+    nested = spark.createDataFrame([(1, [1, 2], {"a": 1}, None), (2, None, None, None)], "id int, list array<int>, map map<string,int>, gone string")
+    nested.coalesce(1).write.parquet(str(tmp_path / "spark"))
+    nested.limit(0).write.parquet(str(tmp_path / "none"))
+    return tmp_path
+
+
+def scanned(spark, path):
+    return {r.column_name: (r.type, r.n_values) for r in schema.schema_table(spark.read.parquet(path)).collect()}
+
+
+def test_counts_equal_a_scan(spark, lake):
+    rows = footer_table(spark, str(lake), files_a_task=1).collect()
+    for name in ("yellow_tripdata_2023-01", "green_tripdata_2023-01"):
+        path = f"{lake}/{name}.parquet"
+        got = {r.column_name: (r.type, r.n_values) for r in rows if r.path.endswith(f"/{name}.parquet")}
+        assert got == scanned(spark, path)
+        assert [r.column_name for r in sorted((r for r in rows if r.path.endswith(f"/{name}.parquet")), key=lambda r: r.position)] == spark.read.parquet(path).columns
+    nested = {r.column_name: (r.type, r.n_values, r.n_rows) for r in rows if "/spark/" in r.path}
+    assert nested == {"id": ("int", 2, 2), "list": ("array<int>", None, 2), "map": ("map<string,int>", None, 2), "gone": ("string", 0, 2)}
+    assert all(r.n_values == 0 for r in rows if "/none/" in r.path)
+
+
+def test_no_data_page_is_read(spark, lake):
+    path = write_file(yellow(spark, *[yellow_row()] * 5000), lake, "spoiled")
+    expected = scanned(spark, path)
+    with open(path, "r+b") as file:  # the footer stays, the pages are spoiled
+        file.seek(8)
+        file.write(b"\xff" * 400)
+    got = {r.column_name: (r.type, r.n_values) for r in footer_table(spark, path).collect()}
+    assert got == expected
+
+
+def test_unreadable_files_have_their_error(spark, lake):
+    (lake / "broken.parquet").write_text("not parquet")
+    bad = footer_table(spark, str(lake)).filter("error IS NOT NULL").collect()
+    assert [(r.path.rsplit("/", 1)[1], r.column_name) for r in bad] == [("broken.parquet", None)]
+    assert schema_of_files(footer_table(spark, str(lake))).filter("column_name IS NULL").count() == 0
+
+
+def test_stores_that_only_spark_opens(spark, lake, monkeypatch):
+    by_path = sorted(map(str, footer_table(spark, str(lake)).collect()))
+    monkeypatch.setattr(source, "_known", lambda path: False)
+    assert sorted(map(str, footer_table(spark, str(lake)).collect())) == by_path
+    files = [f"file:{lake}/{n}" for n in ("yellow_tripdata_2023-01.parquet", "missing.parquet", "spark")]
+    got = trips._by_spark(spark, files)
+    assert [got[f]["kind"] for f in files] == ["file", "file", "folder"] and got[files[1]]["error"]
+    assert got[files[0]]["fingerprint"] == trips.read_footers(spark, files[:1])[0].fingerprint
+
+
+def test_reports_from_footers(spark, lake):
+    files = file_attributes(footer_table(spark, f"{lake}/*.parquet"))
+    schemas = schema_of_files(files, by=["taxi", "year", "month"])
+    only = schema.only_in_kind(schema.schema_overlap(schemas, by=["year", "month"], kind="taxi"), by=["year", "month"]).collect()
+    assert {r.only_in: r.columns for r in only} == {
+        "green": ["ehail_fee", "lpep_dropoff_datetime", "lpep_pickup_datetime", "trip_type"],
+        "yellow": ["Airport_fee", "tpep_dropoff_datetime", "tpep_pickup_datetime"],
+    }
+    assert [r.column_name for r in empty_columns(files).collect()] == ["ehail_fee"]
+    facets = schema.dataset_facets(None, "raw", {"VendorID": "who"}, schema=schema_of_files(files.filter("taxi = 'green'")))
+    assert {r.column_name: r.description for r in facets.collect()}["VendorID"] == "who" and facets.count() == 14
+    drift = schema.drift(*(schema_of_files(files.filter(F.col("taxi") == t)) for t in ("yellow", "green")))
+    assert {r.change for r in drift.collect()} == {"added", "dropped", "retyped", "unchanged"}
+
+
+def test_empty_folder(spark, tmp_path):
+    assert footer_table(spark, str(tmp_path)).count() == 0
+
+
+def test_schema_tables_without_counts(spark):
+    df = spark.createDataFrame([(1, "a")], "n int, s string")
+    rows = schema.schema_table(df, {"s": "text"}, counted=False).collect()
+    assert [(r.column_name, r.type, r.description, r.n_values) for r in rows] == [("n", "int", None, None), ("s", "string", "text", None)]
