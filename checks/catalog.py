@@ -7,6 +7,7 @@ lists as text, so that other engines can compare them.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from meterline.functions.names import snake_case_text
 from meterline.functions.rules import broken_rules, trip_rules
 from meterline.operators import columns as cols
 from meterline.operators import lineage, schema
-from meterline.operators.clean import BROKEN, clean, drop_copies, quarantine_split, reject_report
+from meterline.operators.clean import BROKEN, clean, drop_copies, drop_copies_by_digest, quarantine_split, reject_report
 from meterline.operators.joins import decode_by_join, fits_broadcast, join_zones, orphan_keys, star_join, star_split
 from meterline.operators.profile import column_profile, columns_with_values, output_statistics, table_checks
 from meterline.operators.sample import preview, top_per_group
@@ -36,6 +37,7 @@ from meterline.sources.sinks import write_csv, write_gold, write_partitioned
 from meterline.sources.trips import SOURCE, STEM, scan_trips
 from meterline.sources.versions import VersionedTable
 from meterline.sources.zones import read_zones, shape_zones
+from meterline.streaming.batches import BATCHES, batched
 from meterline.streaming.events import EventStore, assign_batches, drop_redeliveries, touched_days
 from meterline.streaming.ingest import BatchLoader, landing_files, start_ingest
 
@@ -242,6 +244,15 @@ def dedup_per_file(spark, folder):
     return union_by_name([per_file, overall])
 
 
+@query
+def dedup_by_digest(spark, folder):
+    """Line items delivered twice by a third of the suppliers, the second time without their tax where they are returned."""
+    lines = table(spark, folder, "lineitem")
+    again = lines.filter("l_suppkey % 3 = 0").withColumn("l_tax", F.when(F.col("l_returnflag") != "R", F.col("l_tax")))
+    once = drop_copies_by_digest(lines.unionByName(again))
+    return once.groupBy("l_returnflag", "l_linestatus").agg(F.count("*").alias("n_rows"), F.count("l_tax").alias("n_taxed"))
+
+
 # --- validation -----------------------------------------------------------------
 
 
@@ -623,6 +634,24 @@ def event_batches(spark, folder):
     )
 
 
+@query
+def stream_batches(spark, folder):
+    """Events as a stream of three days' files, stopped and started again after the second file."""
+    place = scratch_path(spark, "batches")
+    events = table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    bounds = ["2024-01-01", "2024-01-09", "2024-01-20", "2024-02-02"]
+    for first, last, run in zip(bounds, bounds[1:], (False, True, True)):
+        between = (F.col("ts") >= F.lit(first).cast("timestamp")) & (F.col("ts") < F.lit(last).cast("timestamp"))
+        events.filter(between).coalesce(1).write.mode("append").parquet(f"{place}/landing")
+        if run:
+            stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{place}/landing")
+            closed = batched(stream, "event_type", "event_id", "ts", F.octet_length("props"), max_bytes=64, window=timedelta(hours=6))
+            writer = closed.writeStream.format("parquet").option("path", f"{place}/out").option("checkpointLocation", f"{place}/checkpoint")
+            writer.trigger(availableNow=True).start().awaitTermination()
+    batches = spark.read.schema(BATCHES).parquet(f"{place}/out")
+    return naive(batches.withColumn("event_ids", F.concat_ws(",", "event_ids")))
+
+
 @query
 def dedup_stream(spark, folder):
     place = scratch_path(spark, "redelivered")

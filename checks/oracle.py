@@ -488,6 +488,11 @@ SELECT doc_id, count(*) AS n_rows FROM documents WHERE doc_id NOT IN (SELECT doc
     "dedup_per_file": """
 WITH once AS (SELECT event_type, count(*) AS n_rows FROM (SELECT DISTINCT * FROM events) GROUP BY 1)
 SELECT 'first' AS source, * FROM once UNION ALL SELECT 'second', * FROM once UNION ALL SELECT NULL, * FROM once""",
+    "dedup_by_digest": """
+SELECT l_returnflag, l_linestatus, count(*) AS n_rows, count(l_tax) AS n_taxed
+FROM (SELECT * FROM lineitem UNION
+      SELECT * REPLACE (CASE WHEN l_returnflag <> 'R' THEN l_tax END AS l_tax) FROM lineitem WHERE l_suppkey % 3 = 0)
+GROUP BY ALL""",
     "any_all": """
 SELECT bool_and(o_totalprice > 0) AS all_priced, bool_or(o_totalprice > 0) AS any_priced,
        count(*) FILTER (o_totalprice > 0) AS n_priced,
@@ -547,6 +552,22 @@ FROM (SELECT batch_window, bytes, coalesce(sum(bytes) OVER (
         PARTITION BY batch_window ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
       FROM (SELECT *, time_bucket(INTERVAL '6 hours', ts) AS batch_window, strlen(props) AS bytes FROM events))
 GROUP BY ALL""",
+    "stream_batches": """
+WITH RECURSIVE e AS (
+  SELECT event_type AS feed, event_id, ts, strlen(props) AS bytes, row_number() OVER (PARTITION BY event_type ORDER BY ts, CAST(event_id AS VARCHAR)) AS n
+  FROM events),
+walk AS (
+  SELECT feed, n, event_id, ts, bytes, CAST(0 AS BIGINT) AS batch_no, ts AS opened_at, CAST(bytes AS BIGINT) AS total, false AS late FROM e WHERE n = 1
+  UNION ALL
+  SELECT e.feed, e.n, e.event_id, e.ts, e.bytes,
+    CASE WHEN total >= 64 OR e.ts >= opened_at + INTERVAL 6 HOUR THEN batch_no + 1 ELSE batch_no END,
+    CASE WHEN total >= 64 OR e.ts >= opened_at + INTERVAL 6 HOUR THEN e.ts ELSE opened_at END,
+    CASE WHEN total >= 64 OR e.ts >= opened_at + INTERVAL 6 HOUR THEN e.bytes ELSE total + e.bytes END, false
+  FROM walk JOIN e ON e.feed = walk.feed AND e.n = walk.n + 1)
+SELECT feed, batch_no, opened_at, max(ts) AS last_at, CASE WHEN max(total) >= 64 THEN 'size' ELSE 'time' END AS closed_by,
+       count(*) AS n_events, max(total) AS n_bytes, string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY n) AS event_ids
+FROM walk GROUP BY feed, batch_no, opened_at
+HAVING max(total) >= 64 OR opened_at + INTERVAL 6 HOUR <= (SELECT max(ts) FROM events)""",
     "dedup_stream": "SELECT * FROM events",
     "late_events": """
 SELECT DISTINCT CASE WHEN event_type <> 'signup' THEN event_id END AS event_id,

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterline.functions.rules import trip_rules
-from meterline.operators.clean import clean, drop_copies, keep_rows, quarantine_split, reject_report
+from meterline.operators.clean import clean, drop_copies, drop_copies_by_digest, keep_rows, quarantine_split, reject_report
 from meterline.plans.steps import Context, run_steps
 from tests.trips import NOON, green, green_row, yellow, yellow_row
 
@@ -109,3 +109,21 @@ def test_copies_across_files_stay_when_the_file_is_a_column(spark, source, expec
     df = conformed(spark, yellow_row())
     both = df.withColumn("f", F.lit("a")).unionByName(df.withColumn("f", F.lit("b")))
     assert drop_copies(both if source else both.drop("f")).count() == expected
+
+
+@pytest.mark.parametrize("digest", [None, "0", "id % 3"])
+@pytest.mark.parametrize("most", [1_000_000, 1])
+def test_copies_by_digest_equal_whole_rows(spark, digest, most):
+    rows = [(1, None, 1.5, [1]), (1, None, 1.5, [1]), (None, 1, 1.5, [1]), (2, 2, float("nan"), None), (2, 2, float("nan"), None), (3, 3, 0.0, []), (3, 3, -0.0, []), (4, 4, None, [None])]
+    df = spark.createDataFrame(rows, "id int, other int, x double, list array<int>")
+    digest = digest and F.expr(digest)
+    want = sorted(map(str, drop_copies(df).collect()))
+    assert sorted(map(str, drop_copies_by_digest(df, digest, most).collect())) == want and len(want) == 5
+    assert drop_copies_by_digest(df.limit(0), digest, most).count() == 0
+
+
+def test_only_repeated_rows_are_shuffled(spark):
+    df = spark.range(1000).selectExpr("id", "repeat('wide', 50) AS text")
+    plan = drop_copies_by_digest(df)._jdf.queryExecution().optimizedPlan().toString()
+    alone = plan.split("Aggregate")[0]
+    assert "Join LeftAnti" in alone and "strategy=broadcast" in alone
