@@ -7,7 +7,7 @@ lists as text, so that other engines can compare them.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,11 +27,13 @@ from meterline.operators.sample import preview, top_per_group
 from meterline.operators.union import union_by_name
 from meterline.operators.validate import trip_contract, violations
 from meterline.plans import gold, maintenance
+from meterline.plans.file_queue import VISIBILITY, FileQueue
 from meterline.plans.maintenance import file_listing
+from meterline.plans.partial_gold import PartialGold
 from meterline.plans.steps import Context, run_steps
 from meterline.plans.trips import run_pipeline
 from meterline.session import configure, scratch_path
-from meterline.sources.files import file_attributes, list_files
+from meterline.sources.files import file_attributes, list_files, remove
 from meterline.sources.footers import empty_columns, footer_table, schema_of_files
 from meterline.sources.sinks import write_csv, write_gold, write_partitioned
 from meterline.sources.trips import SOURCE, STEM, scan_trips
@@ -385,6 +387,22 @@ GOLD_MODEL = """
 """
 
 
+@query
+def gold_incremental(spark, folder):
+    """Averages kept up to date through late files, a replaced partition and an emptied one."""
+    place = scratch_path(spark, "incremental")
+    orders = cols.add_calendar(table(spark, folder, "orders"), "o_orderdate")
+    write_partitioned(orders.filter("o_orderkey % 2 = 0"), f"{place}/orders")
+    result = PartialGold(spark, f"{place}/gold", {"o_orderpriority": F.col("o_orderpriority")}, "o_totalprice", where=F.col("o_totalprice") >= 1000)
+    result.refresh(spark.read.parquet(f"{place}/orders"))
+    write_partitioned(orders.filter("o_orderkey % 2 = 1 AND year = 1996"), f"{place}/orders", replace="none")
+    write_partitioned(orders.filter("o_orderstatus = 'F' AND year = 1994 AND month = 1"), f"{place}/orders", replace="touched")
+    remove(spark, f"{place}/orders/year=1994/month=2")
+    changed = orders.filter("year = 1996 OR (year = 1994 AND month IN (1, 2))").select("year", "month")
+    result.refresh(spark.read.schema(orders.schema).parquet(f"{place}/orders"), changed)
+    return result.table()
+
+
 @query
 def gold_sql(spark, folder):
     stored_silver(spark, folder).createOrReplaceTempView("silver")
@@ -801,6 +819,23 @@ def compaction_gate(spark, folder):
     )
 
 
+@query
+def compaction_queue(spark, folder):
+    """File events drained in two runs: errors fail in the first, and a run between the two dies with what it took."""
+    files = _events_as_files(spark, folder)
+    early = F.col("changed") < F.expr("TIMESTAMP_NTZ'2024-01-15 00:00:00'")
+    queue = FileQueue(spark, scratch_path(spark, "queue"), ["day", "event_type"])
+    moment = datetime(2024, 2, 1, tzinfo=timezone.utc)
+    for _ in range(2):  # announced twice
+        queue.arrive("early", files.filter(early), changed="changed")
+    first = queue.drain("first", moment)
+    queue.acknowledge("first", first.filter("event_type <> 'error'"))
+    queue.arrive("late", files.filter(~early), changed="changed")
+    queue.drain("lost", moment)
+    second = queue.drain("second", moment + VISIBILITY)
+    return naive(union_by_name([first.withColumn("run", F.lit("first")), second.withColumn("run", F.lit("second"))]))
+
+
 @query
 def small_files(spark, folder):
     return maintenance.small_files(table(spark, folder, "documents"), ["source", "lang"], size="n_chars")

@@ -580,6 +580,21 @@ SELECT DISTINCT CAST(ts AS DATE) AS day, event_type FROM events WHERE ts > TIMES
 SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n_small, min(ts) AS oldest FROM events GROUP BY 1, 2
 HAVING count(*) >= 80 OR (count(*) > 1
   AND floor(epoch(TIMESTAMP '2024-02-01 00:00:00')) - floor(epoch(min(ts))) >= 480 * 3600)""",
+    "compaction_queue": """
+SELECT 'first' AS run, CAST(ts AS DATE) AS day, event_type, count(*) AS n_files, CAST(sum(strlen(props)) AS BIGINT) AS n_bytes, min(ts) AS oldest
+FROM events WHERE ts < TIMESTAMP '2024-01-15 00:00:00' GROUP BY ALL
+UNION ALL
+SELECT 'second', CAST(ts AS DATE), event_type, count(*), CAST(sum(strlen(props)) AS BIGINT), min(ts)
+FROM events WHERE ts >= TIMESTAMP '2024-01-15 00:00:00' OR event_type = 'error' GROUP BY ALL""",
+    "gold_incremental": """
+SELECT o_orderpriority, CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) / count(*) AS avg_o_totalprice, count(*) AS n_rows
+FROM orders
+WHERE o_totalprice >= 1000 AND CASE
+  WHEN year(o_orderdate) = 1996 THEN true
+  WHEN year(o_orderdate) = 1994 AND month(o_orderdate) = 1 THEN o_orderstatus = 'F'
+  WHEN year(o_orderdate) = 1994 AND month(o_orderdate) = 2 THEN false
+  ELSE o_orderkey % 2 = 0 END
+GROUP BY 1""",
     "small_files": """
 SELECT source, lang, count(*) AS n_files, CAST(sum(n_chars) AS BIGINT) AS n_bytes,
        count(*) FILTER (n_chars < 67108864) AS n_small, count(*) FILTER (n_chars < 131072) AS n_tiny
