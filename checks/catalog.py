@@ -21,6 +21,7 @@ from meterline.functions.rules import broken_rules, trip_rules
 from meterline.operators import columns as cols
 from meterline.operators import lineage, schema
 from meterline.operators.clean import BROKEN, clean, drop_copies, drop_copies_by_digest, quarantine_split, reject_report
+from meterline.plans.column_origins import column_edges
 from meterline.operators.joins import decode_by_join, fits_broadcast, join_zones, orphan_keys, star_join, star_split
 from meterline.operators.profile import column_profile, columns_with_values, output_statistics, table_checks
 from meterline.operators.sample import preview, top_per_group
@@ -527,6 +528,41 @@ def schema_drift(spark, folder):
     return schema.drift(schema.schema_table(old), schema.schema_table(new))
 
 
+def _history(spark, folder):
+    """Four snapshots of the orders' schema; the priority leaves and returns, the price changes its type for good."""
+    orders = table(spark, folder, "orders")
+    priced = orders.withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(18,2)"))
+    versions = [orders, orders.drop("o_orderpriority"), priced, cols.add_calendar(priced, "o_orderdate", "year")]
+    moment = lambda k: F.expr(f"timestampadd(DAY, {k}, min(o_orderdate))")
+    times = [F.lit(t).cast("timestamp_ntz") for t in orders.agg(*(moment(7 * k) for k in range(len(versions)))).first()]
+    snapshots = [schema.schema_table(df, counted=False).withColumn("taken_at", t) for df, t in zip(versions, times)]
+    return schema.schema_history(union_by_name(snapshots)), times
+
+
+@query
+def schema_history(spark, folder):
+    return _history(spark, folder)[0]
+
+
+@query
+def schema_drift_between(spark, folder):
+    """The drift between each two of the snapshots."""
+    history, at = _history(spark, folder)
+    pairs = [(a, b) for a in range(4) for b in range(a + 1, 4)]
+    return union_by_name([schema.drift_between(history, at[a], at[b]).select(F.lit(a).alias("old"), F.lit(b).alias("new"), "*") for a, b in pairs])
+
+
+@query
+def plan_lineage(spark, folder):
+    """Raw columns behind each silver column of a yellow trip, with the values that each of them has."""
+    raw, zones = yellow_feed(spark, folder), zone_feed(spark, folder)
+    context = Context(stem=YELLOW_STEM, zones=shape_zones(zones), broadcast_zones=True, check=unchecked)
+    edges = column_edges(run_steps(raw, context), {"trips": raw, "nation": table(spark, folder, "nation"), "region": table(spark, folder, "region")})
+    counts = schema.data_dictionary({"trips": table(spark, folder, "lineitem"), "nation": table(spark, folder, "nation"), "region": table(spark, folder, "region")})
+    counts = counts.select(F.col("table_name").alias("dataset"), F.col("column_name").alias("input_column"), "n_values")
+    return edges.join(counts, ["dataset", "input_column"], "left").select("output_column", "dataset", "input_column", "kind", "n_values")
+
+
 @query
 def data_dictionary(spark, folder):
     tables = {name: table(spark, folder, name) for name in TABLES}

@@ -477,6 +477,50 @@ SELECT 'COMPLETE' AS previous_state, 'RUNNING' AS event_type, count(*) AS n_even
 FROM log WHERE job_namespace = 'run_steps' AND event_type = 'COMPLETE'""",
 }
 
+# The orders' schema at four times, a week apart: 1 lacks the priority, 2 and 3 have another price, 3 a year.
+HISTORY = """
+WITH times AS (SELECT n, t0 + n * INTERVAL 7 DAY AS t FROM (SELECT min(o_orderdate) AS t0 FROM orders), (SELECT unnest(range(4)) AS n)),
+runs(column_name, type, a, b) AS (VALUES
+  ('o_orderkey', 'bigint', 0, NULL), ('o_custkey', 'bigint', 0, NULL), ('o_orderstatus', 'string', 0, NULL),
+  ('o_orderdate', 'timestamp_ntz', 0, NULL), ('o_totalprice', 'double', 0, 2), ('o_totalprice', 'decimal(18,2)', 2, NULL),
+  ('o_orderpriority', 'string', 0, 1), ('o_orderpriority', 'string', 2, NULL), ('year', 'int', 3, NULL)),
+history AS (
+  SELECT column_name, type, f.t AS valid_from, u.t AS valid_to,
+    min(f.t) OVER (PARTITION BY column_name) AS first_seen, (SELECT max(t) FROM times) AS last_seen
+  FROM runs JOIN times f ON f.n = runs.a LEFT JOIN times u ON u.n = runs.b)
+"""
+
+# Silver columns of a yellow trip: how they come about, and the columns of line items and zones behind them.
+YELLOW_ORIGINS = [
+    ("vendor_id", "derived", "l_tax"), ("vendor", "derived", "l_tax"),
+    ("pickup_datetime", "derived", "l_partkey l_suppkey l_shipdate"),
+    ("dropoff_datetime", "derived", "l_partkey l_suppkey l_shipdate l_linenumber l_returnflag l_linestatus l_quantity"),
+    ("passenger_count", "derived", "l_quantity l_returnflag l_linenumber"),
+    ("trip_distance_mi", "derived", "l_quantity l_tax l_discount"),
+    ("ratecode_id", "derived", "l_discount"), ("ratecode", "derived", "l_discount"),
+    ("store_and_foward", "derived", "l_returnflag l_linestatus"),
+    ("pickup_location_id", "derived", "l_quantity"), ("dropoff_location_id", "derived", "l_tax"),
+    ("payment_type_id", "derived", "l_quantity l_linenumber"), ("payment_type", "derived", "l_quantity l_linenumber"),
+    ("fare_amount", "derived", "l_quantity l_returnflag l_extendedprice"), ("total_amount", "derived", "l_quantity l_returnflag l_extendedprice"),
+    ("extra", "copied", "l_tax"), ("tip_amount", "copied", "l_discount"), ("airport_fee", "constant", ""),
+    ("origin", "constant", ""), ("origin_id", "constant", ""),
+    *[(f"{role}_{text}", kind, column) for role in ("pickup", "dropoff") for text, kind, column in (("borough", "copied", "r_name"), ("zone", "copied", "n_name"), ("service_zone", "derived", "r_name"))],
+]
+_TABLE_OF = {"l": ("trips", "lineitem"), "r": ("region", "region"), "n": ("nation", "nation")}
+
+
+def _origin_rows() -> str:
+    rows = []
+    for output, kind, columns in YELLOW_ORIGINS:
+        for column in columns.split() or [""]:
+            dataset, relation = _TABLE_OF.get(column[:1], (None, None))
+            known = f"'{dataset}', '{column}', '{kind}', (SELECT count({column}) FROM {relation})" if dataset else f"NULL, NULL, '{kind}', NULL"
+            rows.append(f"SELECT '{output}' AS output_column, {known}")
+    return rows[0].replace("'trips', 'l_tax', 'derived', (SELECT count(l_tax) FROM lineitem)", "'trips' AS dataset, 'l_tax' AS input_column, 'derived' AS kind, (SELECT count(l_tax) FROM lineitem) AS n_values") + "".join(f" UNION ALL {row}" for row in rows[1:])
+
+
+LINEAGE = _origin_rows()
+
 PLAIN = {
     "snake_names": """
 SELECT p_partkey, raw_name,
@@ -530,6 +574,18 @@ SELECT v.column_name, v.old_type, v.old_values, v.new_type, v.new_values, v.chan
   ('o_orderdate', 'timestamp_ntz', d, 'timestamp_ntz', d, 'unchanged'),
   ('o_orderpriority', 'string', p, NULL, NULL, 'dropped'), ('year', NULL, NULL, 'int', d, 'added')
 ) AS v(column_name, old_type, old_values, new_type, new_values, change)""",
+    "schema_history": HISTORY + "SELECT * FROM history",
+    "schema_drift_between": HISTORY + """,
+pairs AS (SELECT a.n AS old, b.n AS new, a.t AS t_old, b.t AS t_new FROM times a JOIN times b ON a.n < b.n),
+sides AS (
+  SELECT p.old, p.new, h.column_name,
+    max(CASE WHEN valid_from <= t_old AND (valid_to IS NULL OR valid_to > t_old) THEN type END) AS old_type,
+    max(CASE WHEN valid_from <= t_new AND (valid_to IS NULL OR valid_to > t_new) THEN type END) AS new_type
+  FROM pairs p, history h GROUP BY ALL)
+SELECT CAST(old AS INTEGER) AS old, CAST(new AS INTEGER) AS new, column_name, old_type, new_type,
+  CASE WHEN old_type IS NULL THEN 'added' WHEN new_type IS NULL THEN 'dropped' WHEN old_type <> new_type THEN 'retyped' ELSE 'unchanged' END AS change
+FROM sides WHERE old_type IS NOT NULL OR new_type IS NOT NULL""",
+    "plan_lineage": LINEAGE,
     "data_dictionary": " UNION ALL ".join(map(_dictionary_of, TABLES)),
     "event_transitions": """
 SELECT previous_state, event_type, count(*) AS n_events FROM (

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterline.functions.lookups import text_literal
@@ -98,6 +98,39 @@ def drift(old: DataFrame, new: DataFrame) -> DataFrame:
     return left.join(right, "column_name", "full_outer").withColumn("change", change)
 
 
+def schema_history(snapshots: DataFrame, taken: str = "taken_at") -> DataFrame:
+    """Versions of a schema as validity intervals: a row per column, type and unbroken run of snapshots.
+
+    ``snapshots`` are schema tables under the time they were taken. An interval
+    holds from its first snapshot until the next one that has the column no more,
+    or in another type; NULL means still. ``first_seen`` and ``last_seen`` are the
+    column's over all its intervals. Work is on a row per snapshot and column.
+    """
+    times = snapshots.select(taken).distinct()
+    along = Window.orderBy(taken)  # a row per snapshot
+    numbered = times.select(F.col(taken).alias("_at"), F.row_number().over(along).alias("_n"), F.lead(taken).over(along).alias("_next"))
+    rows = snapshots.select(F.col(taken).alias("_at"), "column_name", "type").distinct().join(F.broadcast(numbered), "_at")
+    run = F.col("_n") - F.row_number().over(Window.partitionBy("column_name", "type").orderBy("_n"))
+    runs = rows.withColumn("_run", run).groupBy("column_name", "type", "_run").agg(
+        F.min("_at").alias("valid_from"), F.max_by("_next", "_n").alias("valid_to"), F.max("_at").alias("_last")
+    )
+    whole = Window.partitionBy("column_name")
+    seen = {"first_seen": F.min("valid_from").over(whole), "last_seen": F.max("_last").over(whole)}
+    return runs.withColumns(seen).drop("_run", "_last")
+
+
+def schema_as_of(history: DataFrame, moment: Column) -> DataFrame:
+    """Columns and types as they were at a time."""
+    holds = (F.col("valid_from") <= moment) & (F.col("valid_to").isNull() | (F.col("valid_to") > moment))
+    return history.filter(holds).select("column_name", "type")
+
+
+def drift_between(history: DataFrame, old: Column, new: Column) -> DataFrame:
+    """What changed between any two times: columns added, dropped, retyped or unchanged."""
+    sides = [schema_as_of(history, moment).withColumn("n_values", F.lit(None).cast("bigint")) for moment in (old, new)]
+    return drift(*sides).drop("old_values", "new_values")
+
+
 def dataset_facets(
     df: DataFrame,
     name: str,

@@ -1,0 +1,88 @@
+"""Lineage from analysed plans, and the history of schemas."""
+
+from datetime import datetime
+
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from meterline.operators import schema
+from meterline.plans.column_origins import column_edges, origins, step_edges
+from meterline.plans.steps import DEFAULT_STEPS, Context
+from meterline.sources.zones import shape_zones
+from tests.trips import yellow, yellow_row, zones
+
+
+def inputs(df, **more):
+    return {c: (o.kind, sorted(f"{d}.{x}" for d, x in o.inputs)) for c, o in origins(df, **more).items()}
+
+
+def test_joins_unions_aggregates_and_windows(spark):
+    a = spark.createDataFrame([(1, "x")], "id int, t string")
+    b = spark.createDataFrame([(1, "y")], "key int, u string")
+    wide = a.join(b, F.col("id") == F.col("key"), "left").select("id", "t", F.concat("t", "u").alias("s"), F.lit(1).alias("one"))
+    both = wide.unionByName(a.select("id", F.col("t").alias("s"), F.upper("t").alias("t"), F.lit(2).alias("one")))
+    top = both.groupBy("t").agg(F.max("s").alias("m"), F.count("*").alias("n"), F.sum("one").alias("ones"))
+    top = top.withColumn("place", F.row_number().over(Window.partitionBy("t").orderBy("m"))).select("*", F.explode(F.split("m", "")).alias("letter"))
+    got = inputs(top, sources={"a": a, "b": b})
+    assert got["t"] == ("derived", ["a.t"]) and got["m"] == ("derived", ["a.t", "b.u"])
+    assert got["n"] == ("constant", []) and got["ones"] == ("constant", [])
+    assert got["place"] == ("derived", ["a.t", "b.u"]) and got["letter"] == ("derived", ["a.t", "b.u"])
+    assert inputs(wide.select("id"), sources={"a": a}) == {"id": ("copied", ["a.id"])}
+    assert inputs(a.join(b, F.col("id") == F.col("key"), "left_semi"), sources={"a": a, "b": b}) == {"id": ("copied", ["a.id"]), "t": ("copied", ["a.t"])}
+    rolled = inputs(a.rollup("id", "t").count(), sources={"a": a})
+    assert rolled["id"][1] == ["a.id"] and rolled["t"][1] == ["a.t"]
+    opaque = inputs(a.mapInPandas(lambda it: it, "z int"), sources={"a": a})
+    assert opaque == {"z": ("derived", ["a.id", "a.t"])}
+
+
+def test_every_step_tells_what_it_made(spark):
+    raw, dim = yellow(spark, yellow_row()), zones(spark)
+    context = Context(stem="yellow", zones=shape_zones(dim), broadcast_zones=True, check=lambda df, _: df)
+    result, edges = step_edges(raw, context, sources={"raw": raw, "zones": dim})
+    rows = {(r.step, r.output_column): [] for r in edges.collect()}
+    for r in edges.collect():
+        rows[r.step, r.output_column].append((r.dataset, r.input_column, r.kind))
+    assert rows["snake_names", "vendor_id"] == [("input", "VendorID", "copied")]
+    assert rows["canonical_names", "pickup_datetime"] == [("input", "tpep_pickup_datetime", "copied")]
+    assert rows["tag_origin", "origin"] == [(None, None, "constant")]
+    assert rows["cast_types", "vendor_id"] == [("input", "vendor_id", "derived")]
+    assert rows["decode_codes", "vendor"] == [("input", "vendor_id", "derived")]
+    assert sorted(rows["join_zones", "pickup_borough"] + rows["join_zones", "dropoff_borough"]) == [("zones", "Borough", "copied")] * 2
+    assert {s for s, _ in rows} <= set(DEFAULT_STEPS) and not any(s == "clean" for s, _ in rows)
+    whole = column_edges(result, {"raw": raw, "zones": dim}).filter("output_column = 'vendor'").collect()
+    assert [tuple(r) for r in whole] == [("vendor", "raw", "VendorID", "derived")]
+
+
+def test_no_data_is_read(spark, tmp_path):
+    path = str(tmp_path / "gone")
+    spark.createDataFrame([(1,)], "a int").write.parquet(path)
+    df = spark.read.parquet(path).select((F.col("a") + 1).alias("b"))
+    for file in tmp_path.glob("gone/*.parquet"):
+        file.write_text("spoiled")
+    assert inputs(df) == {"b": ("derived", [".a"])}
+
+
+@pytest.fixture
+def history(spark):
+    day = lambda n: datetime(2024, 1, n)
+    columns = {1: [("a", "int"), ("b", "string")], 2: [("a", "int")], 5: [("a", "bigint"), ("b", "string")], 9: [("a", "bigint"), ("b", "string"), ("c", "int")]}
+    rows = [(day(n), c, t) for n, cs in columns.items() for c, t in cs]
+    return schema.schema_history(spark.createDataFrame(rows + rows[:1], "taken_at timestamp_ntz, column_name string, type string"))
+
+
+def at(n):
+    return F.lit(datetime(2024, 1, n)).cast("timestamp_ntz")
+
+
+def test_a_column_that_left_and_returned(history):
+    rows = sorted((r.column_name, r.type, r.valid_from.day, r.valid_to and r.valid_to.day, r.first_seen.day, r.last_seen.day) for r in history.collect())
+    assert rows == [("a", "bigint", 5, None, 1, 9), ("a", "int", 1, 5, 1, 9), ("b", "string", 1, 2, 1, 9), ("b", "string", 5, None, 1, 9), ("c", "int", 9, None, 9, 9)]
+
+
+def test_as_of_and_drift_between_any_two(history):
+    names = lambda n: sorted(tuple(r) for r in schema.schema_as_of(history, at(n)).collect())
+    assert names(1) == [("a", "int"), ("b", "string")] and names(3) == [("a", "int")] and names(20) == [("a", "bigint"), ("b", "string"), ("c", "int")]
+    drift = lambda a, b: {r.column_name: r.change for r in schema.drift_between(history, at(a), at(b)).collect()}
+    assert drift(1, 5) == {"a": "retyped", "b": "unchanged"} and drift(1, 2) == {"a": "unchanged", "b": "dropped"}
+    assert drift(2, 9) == {"a": "retyped", "b": "added", "c": "added"} and drift(9, 2) == {"a": "retyped", "b": "dropped", "c": "dropped"}
