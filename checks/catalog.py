@@ -22,7 +22,7 @@ from meterline.operators import columns as cols
 from meterline.operators import lineage, schema
 from meterline.operators.clean import BROKEN, clean, drop_copies, drop_copies_by_digest, quarantine_split, reject_report
 from meterline.plans.column_origins import column_edges
-from meterline.operators.joins import decode_by_join, fits_broadcast, join_zones, orphan_keys, star_join, star_split
+from meterline.operators.joins import decode_by_join, duplicate_keys, fits_broadcast, join_zones, orphan_keys, star_join, star_split
 from meterline.operators.profile import column_profile, columns_with_values, output_statistics, table_checks
 from meterline.operators.sample import preview, top_per_group
 from meterline.operators.union import union_by_name
@@ -185,6 +185,12 @@ def fk_orphans_documents(spark, folder):
     return orphan_keys(documents, labels.withColumnRenamed("doc_id", "labelled_id"), "doc_id", "labelled_id")
 
 
+@query
+def duplicate_zone_keys(spark, folder):
+    """The zones' service zones taken for keys: each is shared by the zones of a region."""
+    return duplicate_keys(shape_zones(zone_feed(spark, folder)), "service_zone")
+
+
 @query
 def star_split_sizes(spark, folder):
     tables = star_split(stored_silver(spark, folder).drop("year", "month"), TRIPS)

@@ -424,6 +424,7 @@ SELECT CASE column_name WHEN 'PULocationID' THEN 'pu_location_id' ELSE
 FROM {_values('yellow_raw')}
 WHERE column_name IN ('tpep_pickup_datetime', 'tpep_dropoff_datetime', 'trip_distance', 'store_and_fwd_flag',
                       'PULocationID', 'DOLocationID')""",
+    "duplicate_zone_keys": "SELECT service_zone, count(*) AS n_rows FROM zones GROUP BY 1 HAVING count(*) > 1",
     "dataset_facets": f"""
 SELECT 'meterline' AS namespace, 'silver_trips' AS dataset, 'silver' AS source_uri, 'parquet' AS file_format,
        'lake team' AS owner, 'OVERWRITE' AS lifecycle_change, column_name,

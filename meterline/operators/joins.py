@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterline.config import TableSpec
 from meterline.operators.columns import prefix_columns
+from meterline.session import scratch_path
 
 MAX_BROADCAST_ROWS = 200_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
@@ -99,43 +100,56 @@ def star_split(wide: DataFrame, spec: TableSpec) -> dict[str, DataFrame]:
     """Wide table to ``fact`` plus one table per code list and one ``zone`` table.
 
     Dimensions come from the data (distinct id and text), so they hold what the
-    fact refers to; partial aggregation keeps their shuffles small.
+    fact refers to. All of them are found in one pass over the table and stored,
+    so that joining them again reads a few rows and can measure them first.
     """
     pairs = {c: spec.text_column(c) for c in spec.codes if c in wide.columns}
     pairs["origin_id"] = "origin"
     zone_texts = ("borough", "zone", "service_zone")
-    tables = {
-        id_column: wide.select(id_column, text).filter(F.col(id_column).isNotNull()).distinct()
-        for id_column, text in pairs.items()
-        if id_column in wide.columns
-    }
+    pairs = {c: text for c, text in pairs.items() if c in wide.columns}
     roles = [r for r in spec.zone_roles if f"{r}_zone" in wide.columns]
-    if roles:
-        ends = [
-            wide.select(
-                F.col(f"{role}_location_id").alias("location_id"),
-                *(F.col(f"{role}_{text}").alias(text) for text in zone_texts),
-            ).filter(F.col("location_id").isNotNull())
-            for role in roles
-        ]
-        both = ends[0]
-        for end in ends[1:]:
-            both = both.unionByName(end)
-        tables["zone"] = both.distinct()
+    entries = [_member(id_column, id_column, [text]) for id_column, text in pairs.items()]
+    entries += [_member("zone", f"{role}_location_id", [f"{role}_{text}" for text in zone_texts]) for role in roles]
+    tables = {}
+    if entries:
+        members = _stored_members(wide, entries)
+        for id_column, text in pairs.items():
+            own = F.col("id").cast(wide.schema[id_column].dataType).alias(id_column)
+            tables[id_column] = members.filter(F.col("dimension") == id_column).select(own, F.col("texts")[0].alias(text))
+        if roles:
+            own = F.col("id").cast(wide.schema[f"{roles[0]}_location_id"].dataType).alias("location_id")
+            texts = [F.col("texts")[k].alias(text) for k, text in enumerate(zone_texts)]
+            tables["zone"] = members.filter("dimension = 'zone'").select(own, *texts)
     derived = [*pairs.values(), *(f"{role}_{text}" for role in roles for text in zone_texts)]
     return {"fact": wide.drop(*derived), **tables}
 
 
+def _member(dimension: str, id_column: str, texts: Sequence[str]) -> Column:
+    return F.struct(F.lit(dimension).alias("dimension"), F.col(id_column).cast("bigint").alias("id"), F.array(*texts).alias("texts"))
+
+
+def _stored_members(wide: DataFrame, entries: Sequence[Column]) -> DataFrame:
+    """The distinct members of all dimensions, by one pass and one shuffle of what the map tasks found."""
+    rows = wide.select(F.explode(F.array(*entries)).alias("m")).select("m.*").filter("id IS NOT NULL").distinct()
+    path = scratch_path(wide.sparkSession, "dimensions")
+    rows.write.parquet(path)
+    return wide.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def star_join(tables: dict[str, DataFrame], spec: TableSpec) -> DataFrame:
     """The inverse of :func:`star_split`.
 
-    The dimensions may still be queries over the fact table, so they are not
-    measured up front: AQE broadcasts one once its shuffled size proves small.
+    Each dimension is measured; small ones are broadcast, and then the fact does not move at all.
     """
     df = tables["fact"]
     for name, dim in tables.items():
         if name not in ("fact", "zone"):
-            df = dimension_join(df, dim, name, name, broadcast=False)
+            df = dimension_join(df, dim, name, name)
     if "zone" in tables:
-        df = join_zones(df, tables["zone"], spec.zone_roles, broadcast=False)
+        df = join_zones(df, tables["zone"], spec.zone_roles)
     return df
+
+
+def duplicate_keys(dim: DataFrame, key: str) -> DataFrame:
+    """Keys that more than one row of a dimension has, with their number: a join would multiply facts by it."""
+    return dim.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n_rows")).filter("n_rows > 1")

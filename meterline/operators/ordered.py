@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterline.session import scratch_path, shuffle_partitions
+from meterline.session import partitions_for, scratch_path
 
 CHUNK = "_chunk"
 
@@ -24,13 +24,13 @@ CHUNK = "_chunk"
 def cut_in_order(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], chunks: int | None = None
 ) -> DataFrame:
-    """The rows with a chunk number; chunks follow each other in (keys, order).
+    """The rows with a chunk number; chunks follow each other in (keys, order). There are as many as the input's size asks for.
 
     ``keys`` and ``order`` together should tell any two rows apart. All columns
     given are written to scratch, so pass a narrow frame.
     """
     spark = df.sparkSession
-    n = chunks or shuffle_partitions(spark)
+    n = chunks or partitions_for(df)
     ranged = df.repartitionByRange(n, *keys, *order).withColumn(CHUNK, F.spark_partition_id())
     path = scratch_path(spark, "ordered")
     ranged.write.parquet(path)

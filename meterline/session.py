@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every job relies on. UTC keeps trip durations free of clock
 # changes; AQE splits skewed join partitions and skewed rebalanced writes. The
@@ -59,6 +59,23 @@ def size_shuffles(spark: SparkSession, input_bytes: int, partition_bytes: int =
     return partitions
 
 
+#: Spark's estimate for inputs whose size it does not know is far above this.
+KNOWN_SIZE = 1 << 60
+
+
+def input_bytes(df: DataFrame) -> int | None:
+    """Bytes that the scans under a frame read, by the plan's own estimates; None where one of them is unknown."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size())]
+    return None if any(size >= KNOWN_SIZE for size in sizes) else sum(sizes)
+
+
+def partitions_for(df: DataFrame, partition_bytes: int = 128 * 1024 * 1024, most: int = 100_000) -> int:
+    """Partitions for a shuffle of the frame: what the session says, or more if the input asks for it."""
+    size = input_bytes(df) or 0
+    return max(shuffle_partitions(df.sparkSession), min(-(-size // partition_bytes), most))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     fallback = spark.conf.get("spark.sql.shuffle.partitions")
     return int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or fallback)

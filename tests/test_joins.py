@@ -6,6 +6,7 @@ from meterline.operators.columns import decode_codes
 from meterline.operators.joins import (
     decode_by_join,
     dimension_join,
+    duplicate_keys,
     fits_broadcast,
     join_zones,
     orphan_keys,
@@ -73,7 +74,7 @@ def test_orphans_ignore_null_keys(spark):
     assert orphan_keys(facts(spark), shape_zones(zones(spark)), "pickup_location_id", "location_id").count() == 0
 
 
-def test_star_split_joins_back(spark):
+def test_star_split_joins_back(spark, tmp_path):
     base = facts(spark).withColumns({"ratecode_id": F.lit(2).cast("tinyint"), "origin_id": F.lit(1), "origin": F.lit("TPEP")})
     wide = join_zones(decode_codes(base, TRIPS), shape_zones(zones(spark)))
     tables = star_split(wide, TRIPS)
@@ -81,6 +82,16 @@ def test_star_split_joins_back(spark):
     assert "pickup_zone" not in tables["fact"].columns
     again = star_join(tables, TRIPS).select(*wide.columns)
     assert wide.exceptAll(again).count() == 0 and again.exceptAll(wide).count() == 0
+    wide.write.parquet(str(tmp_path / "wide"))
+    again = plan(star_join(star_split(spark.read.schema(wide.schema).parquet(str(tmp_path / "wide")), TRIPS), TRIPS))
+    assert "SortMergeJoin" not in again and again.count("BroadcastHashJoin") == 4  # the fact does not move
+    assert {n: t.count() for n, t in tables.items()} == {"fact": 3, "ratecode_id": 1, "origin_id": 1, "zone": 4}
+    assert dict(tables["ratecode_id"].dtypes) == {"ratecode_id": "tinyint", "ratecode": "string"}
+
+
+def test_duplicate_keys(spark):
+    dim = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (None, "e")], "key int, text string")
+    assert [tuple(r) for r in duplicate_keys(dim, "key").collect()] == [(1, 2)]
 
 
 def test_union_orders_and_fills(spark):

@@ -59,3 +59,16 @@ def test_batches_close_by_size_or_window(spark):
     batched = assign_batches(df, "ts", ["id"], F.col("size"), max_bytes=256).orderBy("id").collect()
     assert [r.batch_no for r in batched] == [0, 0, 0, 1, 0, 0]
     assert batched[3].batch_window != batched[4].batch_window
+
+
+def test_chunks_follow_the_size_of_the_input(spark, tmp_path):
+    from meterline.session import input_bytes, partitions_for
+
+    path = f"{tmp_path}/t"
+    spark.range(50_000).selectExpr("id", "uuid() AS text").write.parquet(path)
+    df = spark.read.parquet(path)
+    size = input_bytes(df)
+    assert size > 1_000_000 and input_bytes(df.join(df, "id")) == 2 * size
+    assert partitions_for(df, size // 40) >= 40 and partitions_for(df) == 4
+    assert partitions_for(df, 1, most=77) == 77
+    assert partitions_for(spark.createDataFrame([(1,)], "id int")) == 4
