@@ -31,13 +31,14 @@ from meterline.plans import gold, maintenance
 from meterline.plans.file_queue import VISIBILITY, FileQueue
 from meterline.plans.maintenance import file_listing
 from meterline.plans.partial_gold import PartialGold
+from meterline.plans.publish import publish_files
 from meterline.plans.steps import Context, run_steps
 from meterline.plans.trips import run_pipeline
 from meterline.session import configure, scratch_path
-from meterline.sources.files import file_attributes, list_files, remove
+from meterline.sources.files import file_attributes, file_table, list_files, remove
 from meterline.sources.footers import empty_columns, footer_table, schema_of_files
 from meterline.sources.sinks import write_csv, write_gold, write_partitioned
-from meterline.sources.trips import SOURCE, STEM, scan_trips
+from meterline.sources.trips import SOURCE, STEM, read_footers, scan_trips, schema_only
 from meterline.sources.versions import VersionedTable
 from meterline.sources.zones import read_zones, shape_zones
 from meterline.streaming.batches import BATCHES, batched
@@ -363,6 +364,17 @@ def file_attrs(spark, folder):
 # --- questions and profiles -----------------------------------------------------
 
 
+@query
+def named_steps(spark, folder):
+    """Steps chosen by name, with a function of one's own among them."""
+
+    def seconds(df, _):
+        return cols.add_speed(df, "pickup_datetime", "dropoff_datetime", "trip_distance_mi")
+
+    trips = run_steps(green_feed(spark, folder), Context(stem=GREEN_STEM), [*CONFORM, "clean", seconds])
+    return trips.groupBy("vendor_id").agg(F.count("*").alias("n_trips"), F.max("elapsed_seconds").alias("longest"))
+
+
 @query
 def avg_by_month(spark, folder):
     return gold.average_by_month(silver(spark, folder), year=1997, cents=True)
@@ -505,6 +517,28 @@ def _two_months(spark, folder):
     return file_attributes(footer_table(spark, place))
 
 
+@query
+def schema_of_one_file(spark, folder):
+    place = scratch_path(spark, "one")
+    land(table(spark, folder, "customer"), place, "customers")
+    names = schema_only(spark, list_files(spark, f"{place}/*.parquet")[0])
+    return spark.createDataFrame(list(enumerate(names, start=1)), "position int, column_name string")
+
+
+@query
+def printed_schema(spark, folder):
+    return schema.schema_lines(table(spark, folder, "lineitem"))
+
+
+@query
+def zone_dictionary(spark, folder):
+    """Which columns of the zone dimension have a description, and how many values they hold."""
+    path = scratch_path(spark, "zones")
+    write_csv(zone_feed(spark, folder), path)
+    described = schema.schema_table(read_zones(spark, path, sep=";"))
+    return described.select("column_name", "type", F.col("description").isNotNull().alias("described"), "n_values")
+
+
 @query
 def schema_from_files(spark, folder):
     schemas = schema_of_files(_two_months(spark, folder), by=["taxi", "year", "month"])
@@ -818,6 +852,22 @@ def published_sources(spark, folder):
     return table_.manifest().groupBy(kind.alias("kind"), "verdict").agg(F.sum("n_rows").alias("n_rows"))
 
 
+@query
+def file_contract(spark, folder):
+    """Failures by file: every yellow trip has a vendor outside the list, so those files are named and left out."""
+    place = scratch_path(spark, "contract")
+    land(yellow_feed(spark, folder).withColumn("VendorID", F.lit(8).cast("bigint")), place, YELLOW_STEM)
+    land(green_feed(spark, folder), place, GREEN_STEM)
+    rules = {k: v for k, v in passing_rules().items() if k != "vendor_listed"}
+    footers = read_footers(spark, list_files(spark, f"{place}/*.parquet"))
+    silver_table = VersionedTable(spark, f"{place}/silver")
+    report = publish_files(silver_table, footers, zone_feed(spark, folder), "job", Context(rules=rules), isolate=True)
+    failures = spark.createDataFrame(report.failures, "source string, rule string, column_name string, n_rows bigint")
+    kept = silver_table.read().groupBy().agg(F.lit("green").alias("kind"), F.lit("published").alias("rule"), F.lit("*").alias("column_name"), F.count("*").alias("n_rows"))
+    kind = F.regexp_extract("source", r"([a-z]+)_tripdata", 1).alias("kind")
+    return failures.groupBy(kind, "rule", "column_name").agg(F.sum("n_rows").alias("n_rows")).unionByName(kept)
+
+
 @query
 def bad_file(spark, folder):
     place = scratch_path(spark, "bad")
@@ -922,6 +972,35 @@ def compact(spark, folder):
     )
 
 
+def _events_in_files(spark, folder, name):
+    path = scratch_path(spark, name)
+    events = table(spark, folder, "events").withColumn("day", F.to_date("ts"))
+    for kind in (F.col("value") < 10, F.col("value") >= 10):
+        events.filter(kind).write.partitionBy("day").mode("append").parquet(path)
+    return path
+
+
+@query
+def compact_isolated(spark, folder):
+    """Compaction of the touched partitions by the real listing, and of one that is not there: it fails alone."""
+    path = _events_in_files(spark, folder, "isolated")
+    files = file_table(spark, path)
+    due = maintenance.compaction_gate(files, ["day"], min_files=2).select("day")
+    touched_now = maintenance.touched_partitions(files, ["day"], F.lit("2020-01-01").cast("timestamp")).join(due, "day", "left_semi")
+    missing = touched_now.agg(F.date_add(F.max("day"), 365).alias("day"))
+    report = maintenance.compact(spark, path, touched_now.unionByName(missing), ["day"])
+    return report.select(F.to_date(F.regexp_extract("partition", "day=(.*)$", 1)).alias("day"), "status", "files_after", "row_count")
+
+
+@query
+def listed_files(spark, folder):
+    """Small and expired files by the real listing; all were written just now."""
+    files = file_table(spark, _events_in_files(spark, folder, "listed"))
+    state = maintenance.small_files(files, ["day"]).select("day", (F.col("n_small") == F.col("n_files")).alias("all_small"), (F.col("n_bytes") > 0).alias("has_bytes"))
+    expired = maintenance.expired_files(files, F.current_timestamp()).groupBy("day").agg(F.count("*").alias("n_expired"))
+    return state.join(expired, "day", "left").fillna({"n_expired": 0})
+
+
 @query
 def broken_rule_names(spark, folder):
     """The rules each green trip breaks, as a list beside the trip."""

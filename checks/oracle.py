@@ -154,6 +154,8 @@ CONTRACT_PASS = (
     "AND fare_amount IS NOT NULL AND total_amount IS NOT NULL"
 )
 
+UNLISTED_VENDOR_PASS = " AND ".join(rule for name, rule in LISTED.items() if name != "vendor_listed")
+
 ENDS = """
   p.borough AS pickup_borough, p.zone AS pickup_zone, p.service_zone AS pickup_service_zone,
   d.borough AS dropoff_borough, d.zone AS dropoff_zone, d.service_zone AS dropoff_service_zone
@@ -464,6 +466,15 @@ FROM (SELECT DISTINCT * FROM silver WHERE {CONTRACT_PASS}) GROUP BY 1""",
 SELECT CASE origin_id WHEN 1 THEN 'yellow' ELSE 'green' END AS kind,
        CASE WHEN {ALL_BROKEN} = '' THEN 'accepted' ELSE 'rejected' END AS verdict, count(*) AS n_rows
 FROM (SELECT DISTINCT * FROM yellow UNION ALL BY NAME SELECT DISTINCT * FROM green) GROUP BY ALL""",
+    "file_contract": f"""
+SELECT 'yellow' AS kind, 'in_list' AS rule, 'vendor_id' AS column_name, count(*) AS n_rows
+FROM (SELECT DISTINCT * REPLACE (8 AS vendor_id) FROM yellow WHERE {KEEP} AND {UNLISTED_VENDOR_PASS})
+UNION ALL SELECT 'green', 'published', '*', count(*) FROM (SELECT DISTINCT * FROM green WHERE {KEEP} AND {UNLISTED_VENDOR_PASS})""",
+    "named_steps": f"""
+SELECT vendor_id, count(*) AS n_trips, max({SECONDS}) AS longest FROM (SELECT DISTINCT * FROM green WHERE {KEEP}) GROUP BY 1""",
+    "zone_dictionary": f"""
+SELECT column_name, CASE column_name WHEN 'location_id' THEN 'int' ELSE 'string' END AS type, true AS described, n_values
+FROM {_values('zones')}""",
     "bad_file": f"""
 SELECT 'loaded' AS outcome, origin AS name, NULL AS each_once, count(*) AS n_trips
 FROM (SELECT DISTINCT * FROM silver WHERE {CONTRACT_PASS} AND origin_id = 2) GROUP BY ALL
@@ -591,6 +602,14 @@ SELECT CAST(old AS INTEGER) AS old, CAST(new AS INTEGER) AS new, column_name, ol
 FROM sides WHERE old_type IS NOT NULL OR new_type IS NOT NULL""",
     "plan_lineage": LINEAGE,
     "data_dictionary": " UNION ALL ".join(map(_dictionary_of, TABLES)),
+    "schema_of_one_file": """
+SELECT CAST(row_number() OVER () AS INTEGER) AS position, column_name FROM (DESCRIBE SELECT * FROM customer)""",
+    "printed_schema": """
+SELECT 0 AS position, 'root' AS line UNION ALL
+SELECT CAST(row_number() OVER () AS INTEGER), ' |-- ' || column_name || ': ' || CASE column_type WHEN 'BIGINT' THEN 'long'
+  WHEN 'INTEGER' THEN 'integer' WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' END
+  || ' (nullable = true)'
+FROM (DESCRIBE SELECT * FROM lineitem)""",
     "event_transitions": """
 SELECT previous_state, event_type, count(*) AS n_events FROM (
   SELECT event_type, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS previous_state FROM events)
@@ -662,6 +681,13 @@ FROM documents GROUP BY ALL""",
     "retention": """
 SELECT event_type, count(*) AS n, CASE WHEN ts >= TIMESTAMP '2024-02-15 00:00:00' - INTERVAL 30 DAY
        THEN 'kept' ELSE 'expired' END AS state FROM events GROUP BY 1, 3""",
+    "compact_isolated": """
+SELECT CAST(ts AS DATE) AS day, 'compacted' AS status, CAST(1 AS BIGINT) AS files_after, count(*) AS row_count FROM events GROUP BY 1
+HAVING min(value) < 10 AND max(value) >= 10
+UNION ALL SELECT CAST(max(day) + 365 AS DATE), 'failed', NULL, NULL FROM (
+  SELECT CAST(ts AS DATE) AS day FROM events GROUP BY 1 HAVING min(value) < 10 AND max(value) >= 10)""",
+    "listed_files": """
+SELECT DISTINCT CAST(ts AS DATE) AS day, true AS all_small, true AS has_bytes, CAST(0 AS BIGINT) AS n_expired FROM events""",
     "compact": """
 SELECT CAST(ts AS DATE) AS day, 'compacted' AS status, CAST(1 AS BIGINT) AS files_after, count(*) AS row_count,
        count(*) AS rows_now FROM events GROUP BY 1""",

@@ -31,6 +31,12 @@ def schema_table(df: DataFrame, dictionary: Mapping[str, str] | None = None, cou
     return one.selectExpr(f"inline(array({', '.join(rows)}))")
 
 
+def schema_lines(df: DataFrame) -> DataFrame:
+    """The printed schema as rows, in the order of its lines."""
+    lines = df._jdf.schema().treeString().rstrip("\n").split("\n")
+    return df.sparkSession.createDataFrame(list(enumerate(lines)), "position int, line string")
+
+
 def data_dictionary(tables: Mapping[str, DataFrame], dictionary: Mapping[str, str] | None = None, counted: bool = True) -> DataFrame:
     """The schema tables of several tables under one ``table_name`` column."""
     parts = [
