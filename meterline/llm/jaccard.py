@@ -154,8 +154,8 @@ def _describe(docs: DataFrame, measure: Measure) -> DataFrame:
     return docs.mapInArrow(run, layout)
 
 
-def _corpus_counts(described: DataFrame) -> np.ndarray:
-    """The counts of all groups of tokens: 2 to ``SKETCH_BITS`` numbers, whatever the corpus."""
+def _corpus_levels(described: DataFrame) -> np.ndarray:
+    """How frequent each group of tokens is, a byte each: 2 to ``SKETCH_BITS`` of them, whatever the corpus."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, number = np.zeros(1 << SLICE_BITS, dtype=np.uint64), None
@@ -163,13 +163,13 @@ def _corpus_counts(described: DataFrame) -> np.ndarray:
             number = batch.column("slice")[:1]
             for part in batch.column("counts"):
                 total += read(part.as_py())
-        yield pa.RecordBatch.from_arrays([number, pa.array([total.tobytes()], pa.binary())], ["slice", "counts"])
+        yield pa.RecordBatch.from_arrays([number, pa.array([Orders.levels_of(total).tobytes()], pa.binary())], ["slice", "levels"])
 
-    parts = described.where("slice IS NOT NULL").select("slice", "counts").groupBy("slice").applyInArrow(add, "slice int, counts binary")
-    counts = np.zeros(1 << SKETCH_BITS, dtype=np.uint64)
+    parts = described.where("slice IS NOT NULL").select("slice", "counts").groupBy("slice").applyInArrow(add, "slice int, levels binary")
+    levels = np.zeros(1 << SKETCH_BITS, dtype=np.uint8)
     for row in parts.collect():
-        counts[row.slice << SLICE_BITS : (row.slice + 1) << SLICE_BITS] = np.frombuffer(row.counts, dtype=np.uint64)
-    return counts
+        levels[row.slice << SLICE_BITS : (row.slice + 1) << SLICE_BITS] = np.frombuffer(row.levels, dtype=np.uint8)
+    return levels
 
 
 def _prefixes(docs: DataFrame, shared, measure: Measure, ranges: int) -> DataFrame:
@@ -285,7 +285,7 @@ def link(docs: DataFrame, measure: Measure = Measure(), id_col: str = "doc_id",
     source = every.where("doc_id IS NOT NULL")
     described = stored(_describe(every.select(F.col("doc_id").cast("bigint"), "text"), measure), "sets")
     sets = described.where("slice IS NULL").drop("slice", "counts")
-    shared = docs.sparkSession.sparkContext.broadcast(Orders.levels_of(_corpus_counts(described)))
+    shared = docs.sparkSession.sparkContext.broadcast(_corpus_levels(described))
     # equal sets, and rows with equal ids, are linked to begin with
     classes = sets.where("n > 0 AND doc_id IS NOT NULL").groupBy("high", "low", "n").agg(F.min("doc_id").alias("first"))
     known = sets.where("n > 0 AND doc_id IS NOT NULL").join(classes, ["high", "low", "n"]).select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
@@ -309,6 +309,7 @@ def link(docs: DataFrame, measure: Measure = Measure(), id_col: str = "doc_id",
     second = stored(second, "second-pairs")
     links = links.unionByName(stored(_verified(source, _parts(second), shared, measure), "links"))
     final = components(links)
+    shared.unpersist()
     sizes = sets.select("doc_id", F.col("n").alias("n_shingles"))
     return sizes.join(final, sizes["doc_id"] == final["node"], "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
