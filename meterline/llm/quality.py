@@ -63,15 +63,15 @@ def statistics(text: str) -> list[float]:
 
 
 def describe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id`` and ``x``, the statistics of the whole text."""
+    """``doc_id``, ``text_hash`` and ``x``, the statistics of the whole text."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = pa.array([statistics(t.as_py()) for t in batch.column("text")], pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), x], ["doc_id", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), x], ["doc_id", "text_hash", "x"])
 
-    source = texts(docs, id_col, text_col)
-    return source.mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, x array<double>")
+    source = texts(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
+    return source.mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, text_hash bigint, x array<double>")
 
 
 @dataclass(frozen=True)
@@ -176,14 +176,15 @@ def train(described: DataFrame, labels: DataFrame, label: str, learn: Column, ca
 
 
 def score(described: DataFrame, model: QualityModel) -> DataFrame:
-    """``doc_id`` and ``score``, the probability of label 1."""
+    """``doc_id``, ``text_hash`` and ``score``, the probability of label 1."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(model.score(_rows(batch)))], ["doc_id", "score"])
+                scores = pa.array(model.score(_rows(batch)))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), scores], ["doc_id", "text_hash", "score"])
 
-    return described.mapInArrow(run, f"doc_id {described.schema['doc_id'].dataType.simpleString()}, score double")
+    return described.mapInArrow(run, f"doc_id {described.schema['doc_id'].dataType.simpleString()}, text_hash bigint, score double")
 
 
 def fit_and_score(docs: DataFrame, labels: DataFrame, label: str, learn: Column, calibrate: Column) -> DataFrame:

@@ -20,7 +20,7 @@ def folds() -> tuple[Column, Column, Column]:
 def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     held_out, learn, calibrate = folds()
     scored = fit_and_score(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"), "quality", learn, calibrate)
-    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= ACCEPTED).cast("int").alias("predicted"))
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= ACCEPTED).cast("int").alias("predicted"))
 
 
 QUERIES = {"op10_quality": op10_quality}

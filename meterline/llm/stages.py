@@ -29,30 +29,42 @@ NEAR_COPIES = jaccard.Measure(words=5, percent=80)
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the quality classifier, fitted on the labelled ones among them, accepts.
 
-    Rows with equal ids and different texts go or stay by the best of them.
+    Every row goes or stays by its own text, whatever other rows have its id or have none.
     """
     _, learn, calibrate = folds()
     scored = fit_and_score(docs, read_table(spark, sf_dir, "labels"), "quality", learn, calibrate)
-    best = scored.groupBy("doc_id").agg(F.max("score").alias("score"))
-    return _without(docs, best.where(F.col("score") < ACCEPTED).select("doc_id")).select(*DOCUMENT)
+    rejected = scored.where(F.col("score") < ACCEPTED).select("doc_id", "text_hash").distinct()
+    hashed = docs.withColumn("text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    return _without(hashed, rejected, "doc_id", "text_hash").select(*DOCUMENT)
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents with other ids; only a list of ids that is measured to be short is broadcast."""
-    gone = stored(ids.withColumnRenamed("doc_id", "_gone"), "gone")
+def _without(docs: DataFrame, keys: DataFrame, *names: str) -> DataFrame:
+    """The documents with other keys; only a list of keys that is measured to be short is broadcast."""
+    gone = stored(keys.select(*(F.col(n).alias(f"_gone_{n}") for n in names)), "gone")
     side = F.broadcast(gone) if fits_broadcast(gone, BROADCAST_IDS) else gone
-    return docs.join(side, docs["doc_id"].eqNullSafe(F.col("_gone")), "left_anti")
+    return docs.join(side, [docs[n].eqNullSafe(F.col(f"_gone_{n}")) for n in names], "left_anti")
 
 
 def keep_one_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies, that with the smallest id; repeated rows once; documents without an id all."""
-    linked = stored(jaccard.link(docs, NEAR_COPIES).select("doc_id", "component_id").where("doc_id IS NOT NULL"), "linked")
-    chosen = _without(docs, linked.where("doc_id <> component_id").select("doc_id").distinct())
-    repeated = linked.groupBy("doc_id").count().where("count > 1").select("doc_id")
-    if repeated.isEmpty():  # ids are unique, as they should be: no text has to be moved
-        return chosen.select(*DOCUMENT)
-    once = chosen.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*DOCUMENT)
-    return _without(chosen, repeated).select(*DOCUMENT).unionByName(once)
+    """One document of each component of near copies, that with the smallest id; repeated rows once.
+
+    Ids name documents only where each row has one of its own. Elsewhere rows are
+    numbered first and compared as rows, so that different texts with one id, or
+    without any, all stay, and rows without an id go only as copies of others.
+    """
+    unclear = docs.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL")
+    if unclear.isEmpty():
+        linked = stored(jaccard.link(docs, NEAR_COPIES).select("doc_id", "component_id"), "linked")
+        return _without(docs, linked.where("doc_id <> component_id"), "doc_id").select(*DOCUMENT)
+    rows = stored(docs.select(*DOCUMENT, F.monotonically_increasing_id().alias("row")), "rows")
+    linked = jaccard.link(rows, NEAR_COPIES, id_col="row").withColumnRenamed("doc_id", "row")
+    described = rows.select("row", "doc_id", F.xxhash64(*DOCUMENT).alias("same")).join(linked, "row")
+    alike = F.when(F.col("n_shingles") > 0, F.struct(F.lit(None).cast("bigint").alias("id"), F.col("component_id").alias("group")))
+    alike = alike.otherwise(F.struct(F.col("doc_id").alias("id"), F.col("same").alias("group")))  # texts without words: repeated rows alone
+    described = stored(described.withColumn("alike", alike), "described")
+    kept = described.groupBy("alike").agg(F.min_by("row", F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("row"))
+    gone = described.select("row").join(kept.select("row"), "row", "left_anti")
+    return _without(rows, gone, "row").select(*DOCUMENT)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

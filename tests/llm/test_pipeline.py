@@ -89,6 +89,25 @@ def test_odd_rows(spark):
             assert out.columns == list(stages.DOCUMENT) and out.count() <= len(given)
         assert corpus_pipeline.STAGES[4][1](spark, docs, FOLDER).count() == len(given)
     docs = spark.createDataFrame(rows, layout)
-    assert stages.keep_one_of_copies(spark, docs, FOLDER).count() == 5
+    one = stages.keep_one_of_copies(spark, docs, FOLDER).collect()
+    assert sorted((str(r.doc_id), str(r.text)) for r in one) == [("1", "None"), ("2", ""), ("3", "token=abcdef"), ("4", "one two"), ("4", "three four"), ("None", "x y")]
     clean = stages.redact_secrets(spark, docs, FOLDER).collect()
     assert sorted((str(r.doc_id), str(r.text), r.n_chars) for r in clean)[2:4] == [("3", "[SECRET]", 8)] * 2 and len(clean) == 7
+
+
+def test_rows_with_unclear_ids_are_compared_as_rows(spark):
+    base = " ".join(f"w{k}" for k in range(60))
+    rows = [(4, base), (4, "something else altogether"), (None, base + " more"), (None, "of no id"), (None, "of no id"), (9, base), (2, "unlike " + base.upper()), (5, None), (5, None), (6, "")]
+    docs = spark.createDataFrame([(i, t, None, None, 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted((str(r.doc_id), str(r.text)) for r in stages.keep_one_of_copies(spark, docs, FOLDER).collect())
+    assert got == sorted([("2", "unlike " + base.upper()), ("4", "something else altogether"), ("None", "of no id"), ("5", "None"), ("6", "")])
+
+
+def test_each_row_is_scored_by_its_own_text(spark):
+    good = [r for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{FOLDER}/labels.parquet").collect()}
+    texts = [next(r.text for r in good if labels.get(r.doc_id) == quality and len(r.text) > 200) for quality in (1, 0)]
+    odd = spark.createDataFrame([(None, t, "en", "s", 1) for t in texts] + [(10**9, t, "en", "s", 1) for t in texts], "doc_id long, text string, lang string, source string, n_chars long")
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").unionByName(odd)
+    stay = stages.keep_good(spark, docs, FOLDER).where("doc_id IS NULL OR doc_id = 1000000000").collect()
+    assert sorted((r.doc_id is None, r.text) for r in stay) == [(False, texts[0]), (True, texts[0])]
