@@ -3,7 +3,8 @@
 Documents are put into ascending order of their ids by ranges (shards); each
 shard writes its token ids in chunks of a fixed number. A chunk is transposed
 into planes, one for each bit (or byte) of an id, and every plane is
-compressed by itself with zstandard. Beside its planes a chunk holds what it
+compressed by itself with zstandard. Special strings in a text are the ids that
+the library takes them for by default. Beside its planes a chunk holds what it
 has of which document. The index table tells for each chunk how many ids come
 before it. Both tables are parquet, so any store that Spark writes to serves.
 
@@ -25,10 +26,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from meterline.llm.bpe import TextEncoder, in_portions, worker_encoder
+from meterline.llm.bpe import in_portions
 from meterline.llm.common import block_count, texts
+from meterline.llm.words import ColumnEncoder
 
 CHUNK_IDS = 1 << 16
+#: So many bytes of texts are encoded at a time: the more, the fewer words are looked up again.
+PORTION_BYTES = 6 << 20
 PIECES = "array<struct<doc_id: {kind}, begin: bigint, n_tokens: bigint, offset: bigint, length: int>>"
 #: Shards whose sizes are summed together before the sums of such groups are.
 SHARDS_A_GROUP = 1024
@@ -86,43 +90,21 @@ class _Chunks:
         return row
 
 
-#: So many words are handed to the library as one text.
-WORDS_A_TEXT = 500
-
-
-def library_encoder(vocabulary: str) -> TextEncoder:
-    """Encodes with the tokenizers library from the text of its json file.
-
-    Words are given to it side by side, each led by its space or by a line
-    end, and the ids are cut where the words' bytes end: no token crosses that.
-    """
+def library_encoder(vocabulary: str) -> ColumnEncoder:
+    """Encodes with the tokenizers library from the text of its json file, special strings as it does by default."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel part
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_str(vocabulary)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
     batch = getattr(tokenizer, "encode_batch_fast", tokenizer.encode_batch)
+    special = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
     tokens = tokenizer.get_vocab()
     n_bytes = np.zeros(max(tokens.values(), default=0) + 1, dtype=np.int64)  # a character of a token stands for a byte
     n_bytes[list(tokens.values())] = [len(t) for t in tokens]
+    return ColumnEncoder(lambda words: [x.ids for x in batch(words, add_special_tokens=False)], special, n_bytes)
+
 
-    def encode_all(words: list[str]) -> list[bytes]:
-        plain = [w for w in words if not any(map(str.isspace, w[w[:1] == " " :]))]
-        groups = [plain[k : k + WORDS_A_TEXT] for k in range(0, len(plain), WORDS_A_TEXT)]
-        found: dict[str, bytes] = {}
-        led = [[w if w[0] == " " else f"\n{w}" for w in group] for group in groups]
-        for group, parts, encoding in zip(groups, led, batch(["".join(x) for x in led], add_special_tokens=False)):
-            ids = np.array(encoding.ids, dtype="<u4")
-            ends = np.cumsum([len(x.encode()) for x in parts])
-            cuts = np.searchsorted(np.cumsum(n_bytes[ids]), ends, side="right").tolist()
-            packed = ids.tobytes()
-            for word, a, b in zip(group, [0, *cuts[:-1]], cuts):
-                found[word] = packed[4 * (a + (word[0] != " ")) : 4 * b]
-        whole = [w for w in words if w not in found]
-        found.update(zip(whole, (np.array(x.ids, dtype="<u4").tobytes() for x in batch(whole, add_special_tokens=False))))
-        return [found[w] for w in words]
-
-    return TextEncoder(encode_all)
+_encoders: dict[str, ColumnEncoder] = {}
 
 
 def write_ids(
@@ -146,7 +128,9 @@ def write_ids(
     layout = f"shard int, chunk int, n_ids int, unit string, planes array<binary>, pieces {PIECES.format(kind=kind)}"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_encoder(("library", vocabulary_path), lambda: library_encoder(shared.value))
+        if vocabulary_path not in _encoders:  # one per Python worker, so that the words it knows serve all tasks
+            _encoders[vocabulary_path] = library_encoder(shared.value)
+        encoder = _encoders[vocabulary_path]
         chunks, schema = _Chunks(TaskContext.get().partitionId(), unit, chunk_ids), None
         end = np.array([end_id], dtype="<u4")
 
@@ -156,10 +140,9 @@ def write_ids(
         for batch in batches:
             piece = pa.struct([("doc_id", batch.schema.field("doc_id").type), ("begin", pa.int64()), ("n_tokens", pa.int64()), ("offset", pa.int64()), ("length", pa.int32())])
             schema = pa.schema([("shard", pa.int32()), ("chunk", pa.int32()), ("n_ids", pa.int32()), ("unit", pa.string()), ("planes", pa.list_(pa.binary())), ("pieces", pa.list_(piece))])
-            for part in in_portions(batch, "text"):
-                for doc_id, packed in zip(part.column("doc_id").to_pylist(), encoder.many(part.column("text").to_pylist())):
-                    ids = np.concatenate([np.frombuffer(packed, dtype="<u4"), end])
-                    yield from map(batch_of, chunks.add(doc_id, ids))
+            for part in in_portions(batch, "text", PORTION_BYTES):
+                for doc_id, ids in zip(part.column("doc_id").to_pylist(), encoder.many(part.column("text"))):
+                    yield from map(batch_of, chunks.add(doc_id, np.concatenate([ids, end])))
         if chunks.filled:
             yield batch_of(chunks.close())
 

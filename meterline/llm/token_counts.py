@@ -30,11 +30,12 @@ from pyspark.sql import functions as F
 
 from meterline.llm.bpe import in_portions
 from meterline.llm.common import texts
+from meterline.llm.words import BATCH_BYTES, REMEMBERED, by_bytes
 
-#: Bytes of text that are split and summed at a time, and that the library gets in one call.
-PORTION_BYTES, BATCH_BYTES = 4 << 20, 1 << 18
-#: Words longer than this are cut further; so many distinct words are remembered by a worker.
-LONG_WORD, REMEMBERED = 1 << 12, 300_000
+#: Bytes of text that are split and summed at a time.
+PORTION_BYTES = 4 << 20
+#: Words longer than this are cut further.
+LONG_WORD = 1 << 12
 ASCII_SPACES = "\t\n\v\f\r "
 #: Behind a digit that another visible ASCII character follows: a digit is a match by itself.
 BEHIND_DIGIT = re.compile(r"(?<=[0-9])(?=[!-~])")
@@ -42,20 +43,6 @@ BEHIND_DIGIT = re.compile(r"(?<=[0-9])(?=[!-~])")
 Lengths = Callable[[list[str]], list[int]]
 
 
-def by_bytes(words: list[str], most: int = BATCH_BYTES) -> Iterator[list[str]]:
-    """The words in batches of about ``most`` bytes; a longer word is a batch of its own."""
-    batch, held = [], 0
-    for word in words:
-        n = len(word.encode())
-        if batch and held + n > most:
-            yield batch
-            batch, held = [], 0
-        batch.append(word)
-        held += n
-    if batch:
-        yield batch
-
-
 def drops_spaces(tokenizer) -> bool:
     """Whether white space only separates, so that texts can be cut there; digits stand alone too."""
     if tokenizer.pre_tokenizer is None or tokenizer.post_processor is not None:

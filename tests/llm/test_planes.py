@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -12,7 +13,6 @@ from meterline.session import scratch_path
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 LIBRARY = Tokenizer.from_file(PATH)
-LIBRARY.encode_special_tokens = True
 
 
 @pytest.mark.parametrize("unit", ["bit", "byte"])
@@ -55,5 +55,26 @@ def test_words_side_by_side_equal_the_library():
     rng = random.Random(6)
     texts = ["", " ", "a", "<|endoftext|> x", "é\U0001f600 \U0001f600y", "it's don't\nI'll", "a\n\nb", "x  y", " lead", "trail ", "\x1c a", "tab\tbed word"]
     texts += ["".join(rng.choice("ab c\n\t 'és1. ") for _ in range(rng.randrange(60))) for _ in range(800)]
-    for text, ids in zip(texts, library_encoder(open(PATH, encoding="utf-8").read()).many(texts)):
-        assert np.frombuffer(ids, "<u4").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids, repr(text)
+    texts += ["".join(rng.choice("ab \n") for _ in range(rng.randrange(12))) for _ in range(3000)]
+    texts += [f"{a}<|endoftext|>{b}" for a in ("", "x", " ", "  ", "\n") for b in ("", "y", " y", "  ", "\n\n")]
+    encoder = library_encoder(open(PATH, encoding="utf-8").read())
+    for text, ids in zip(texts, encoder.many(pa.array(texts))):
+        assert ids.tolist() == LIBRARY.encode(text, add_special_tokens=False).ids, repr(text)
+    assert encoder.many(pa.array([], pa.string())) == []
+
+
+def test_special_strings_are_single_ids():
+    from meterline.llm.planes import library_encoder
+
+    ids = library_encoder(open(PATH, encoding="utf-8").read()).many(pa.array(["a <|endoftext|> b"]))[0]
+    assert ids.tolist() == [64, 220, 50256, 275]
+
+
+def test_query(spark):
+    from meterline.llm.queries_planes import op5_planes
+
+    folder = "/root/testdata/sf0.001"
+    got = op5_planes(spark, folder)
+    assert got.dtypes == [("doc_id", "bigint"), ("start", "bigint"), ("n_tokens", "bigint"), ("ids_crc32", "bigint")]
+    given = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
+    assert sorted(map(tuple, got.collect())) == sorted(expected(given))
