@@ -1,0 +1,21 @@
+"""Corpus queries against their SQL on the given tables."""
+
+import duckdb
+import pytest
+
+from checks.compare import difference
+from meterline.llm.catalog import ORACLE, QUERIES
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+@pytest.mark.parametrize("name", ["op2_jaccard", "op8_merkle"])
+def test_query_equals_sql(spark, name):
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{FOLDER}/documents.parquet'")
+    got = QUERIES[name](spark, FOLDER).toPandas()
+    assert difference(got, connection.execute(ORACLE[name]).df()) is None
+
+
+def test_every_sql_has_its_query():
+    assert set(ORACLE) <= set(QUERIES) and {"op2_jaccard", "op4_secrets", "op8_merkle", "op11_prefix_trie", "op12_hard_negatives"} == set(ORACLE)
