@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from meterline.functions.rules import Rules, all_hold, broken_rules, holds
 from meterline.operators.joins import fits_broadcast
+from meterline.session import scratch_path
 
 
 #: Holds the names of the rules that a row breaks.
@@ -44,12 +45,16 @@ def drop_copies_by_digest(df: DataFrame, digest: Column | None = None, max_diges
     Digests are counted first. A row whose digest no other has goes straight
     through; only the rows of repeated digests are shuffled, and compared as
     whole rows, so that unlike rows of one digest all stay. The input is read
-    three times, which pays where copies are few and rows are wide. More than
+    three times, which pays where copies are few and rows are wide; the digests are
+    counted at once, when this is called. More than
     ``max_digests`` repeated digests are not broadcast: then this is
     :func:`drop_copies`.
     """
     marked = df.withColumn("_digest", row_digest(df.columns) if digest is None else digest)
-    repeated = marked.groupBy("_digest").count().filter("count > 1").select("_digest")
+    counted = marked.groupBy("_digest").count().filter("count > 1").select("_digest")
+    path = scratch_path(df.sparkSession, "digests")
+    counted.write.parquet(path)  # measured and used twice, counted once
+    repeated = df.sparkSession.read.schema(counted.schema).parquet(path)
     if not fits_broadcast(repeated, max_digests):
         return drop_copies(df)
     some = F.broadcast(repeated)
