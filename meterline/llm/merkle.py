@@ -85,7 +85,7 @@ def _in_order(keys: DataFrame, bytes_a_range: int) -> DataFrame:
     heads = heads.select("part", F.coalesce(F.lead("head").over(along), F.first("head").over(over_all)).alias("next_head"))
     within = Window.partitionBy("part").orderBy("doc_id", "text_hash", "key")
     follows = ranged.withColumn("follower", F.lead("key").over(within)).join(heads, "part")
-    return follows.select("key", "n_chars", F.coalesce("follower", F.col("next_head")["key"]).alias("next_key"))
+    return follows.select("key", "n_chars", "copies", F.coalesce("follower", F.col("next_head")["key"]).alias("next_key"))
 
 
 def edit_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bytes_a_range: int = 64 << 20) -> DataFrame:
@@ -100,15 +100,19 @@ def edit_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     source = texts(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
     key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.hex("text_hash"), F.length("text"))
-    whole = source.withColumn("key", key).groupBy("key").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"), F.count("*").alias("copies"))
-    keys = source.select("doc_id", "text_hash", key.alias("key"), F.length("text").cast("long").alias("n_chars")).distinct()
+    # Both branches below read the same columns of this frame, so that its exchange is written once and reused.
+    whole = source.withColumn("key", key).groupBy("key").agg(F.first(F.struct("doc_id", "text")).alias("row"))
+    keys = source.select("doc_id", "text_hash", key.alias("key"), F.length("text").cast("long").alias("n_chars"))
+    keys = keys.groupBy("doc_id", "text_hash", "key", "n_chars").agg(F.count("*").alias("copies"))
     order = _in_order(keys, bytes_a_range)
     before = order.select(F.col("next_key").alias("key"), F.col("key").alias("previous"), F.col("n_chars").alias("previous_n"))
+    own = order.select("key", "copies")
     followed = F.when(F.col("previous").isNull(), F.raise_error(F.concat(F.lit("follows no document: "), "key"))).otherwise(F.col("previous"))
-    marked = whole.join(before, "key", "left").withColumn("previous", followed).withColumn("n_chars", F.length("text").cast("long")).withColumn("fingerprint", fingerprint(F.col("text")))
     quarter = F.floor(F.col("previous_n") / 4).cast("int")
-    heads = marked.select(F.col("previous").alias("key"), F.substring(F.col("text"), F.lit(1), quarter).alias("head"), F.col("fingerprint").alias("next_fingerprint"))
+    text = F.col("row.text")
+    heads = whole.join(before, "key", "left").select(followed.alias("key"), F.substring(text, F.lit(1), quarter).alias("head"), fingerprint(text).alias("next_fingerprint"))
+    n_chars = F.length("text").cast("long")
     kept = F.substring(F.col("text"), F.lit(1), (F.col("n_chars") - F.floor(F.col("n_chars") / 4)).cast("int"))
-    edited = marked.drop("previous", "previous_n").join(heads, "key").withColumn("edited", F.concat(kept, "head"))
-    edited = edited.withColumn("edited_fingerprint", fingerprint(F.col("edited")))
+    edited = whole.join(heads, "key").join(own, "key").select("row.doc_id", "row.text", "head", "next_fingerprint", "copies").withColumn("n_chars", n_chars)
+    edited = edited.withColumn("edited", F.concat(kept, "head")).withColumns({"fingerprint": fingerprint(F.col("text")), "edited_fingerprint": fingerprint(F.col("edited"))})
     return edited.select("doc_id", "n_chars", "text", "edited", "fingerprint", "edited_fingerprint", "next_fingerprint", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("copy")).drop("copy")
