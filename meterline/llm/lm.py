@@ -135,8 +135,8 @@ def _answer(table: pa.Table) -> pa.Table:
     asked = [(r["block"], _unpacked(r["keys"]), _read(r["train"]), _read(r["held"])) for r in table.to_pylist()]
     kind, number_of_range = table.column("kind")[0].as_py(), table.column("range")[0].as_py()
     every, place = np.unique(np.concatenate([k for _, k, _, _ in asked]), return_inverse=True)
-    train = np.bincount(place, np.concatenate([t for _, _, t, _ in asked]), len(every)).astype(np.uint32)
-    held = np.bincount(place, np.concatenate([h for _, _, _, h in asked]), len(every)).astype(np.uint32)
+    train = np.bincount(place, np.concatenate([t for _, _, t, _ in asked]), len(every)).astype(np.uint64)
+    held = np.bincount(place, np.concatenate([h for _, _, _, h in asked]), len(every)).astype(np.uint64)
     words, rows, first = int((train > 0).sum()) if kind == WORD else 0, [], 0
     for number, keys, _, _ in asked:
         at = place[first : first + len(keys)]

@@ -26,9 +26,10 @@ def unpacked(data: bytes) -> np.ndarray:
 
 
 def numbers(x: np.ndarray) -> bytes:
-    """Numbers of 32 bits."""
-    return _squeezed(x.astype(np.uint32))
+    """Whole numbers from 0 on, in 32 bits each or, where one needs them, 64; the first byte says which."""
+    wide = len(x) and int(x.max()) >= 1 << 32
+    return (b"\x08" if wide else b"\x04") + _squeezed(x.astype(np.uint64 if wide else np.uint32))
 
 
 def read(data: bytes) -> np.ndarray:
-    return _expanded(data, np.uint32)
+    return _expanded(data[1:], np.uint64 if data[:1] == b"\x08" else np.uint32)

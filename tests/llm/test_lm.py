@@ -90,3 +90,19 @@ def test_query_improves_on_the_base(spark):
     assert all(r.held_out == (part(r.doc_id) == 2) for r in got)
     held = [r for r in got if r.held_out]
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
+def test_counts_beyond_32_bits():
+    import numpy as np
+    import pyarrow as pa
+
+    from meterline.llm import lm
+    from meterline.llm.packing import numbers, packed, read, unpacked
+
+    for x in ([], [0], [7, 2**32 - 1], [2**32, 1], [2**52, 0, 3]):
+        assert read(numbers(np.array(x, dtype=np.int64))).tolist() == x
+    keys, many = np.array([5, 9], dtype=np.uint64), np.array([3 * 10**9, 1])
+    asked = [(lm.WORD, 0, b, packed(keys), numbers(many), numbers(many * 0)) for b in (0, 1)]
+    table = pa.table({n: [r[k] for r in asked] for k, n in enumerate(("kind", "range", "block", "keys", "train", "held"))})
+    assert unpacked(asked[0][3]).tolist() == [5, 9]
+    assert [read(t).tolist() for t in lm._answer(table).column("train").to_pylist()] == [[6 * 10**9, 2]] * 2
