@@ -1,7 +1,10 @@
 """The stages of the corpus pipeline: each is one operator whose decisions take effect on the documents.
 
 All but the last return the columns of documents, and rows that they keep
-unchanged but for what the operator itself changes.
+unchanged but for what the operator itself changes. Every stage gives an empty
+table for an empty one, leaves further columns behind and takes a null text for
+an empty one when it decides, without changing it. Rows with equal ids, or
+without one, are rows of their own in every stage.
 """
 
 from __future__ import annotations
@@ -68,7 +71,7 @@ def keep_one_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that hold no item of the benchmark."""
+    """The documents that hold no item of the benchmark; a row goes by its own text, whatever else has its id."""
     return decontaminate.decontaminate(docs, read_table(spark, sf_dir, "benchmark")).select(*DOCUMENT)
 
 
