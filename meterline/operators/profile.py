@@ -25,12 +25,13 @@ def column_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
 
     The exact form turns rows into (column, value) pairs and removes copies in
     the map tasks first, so repeated values cost no shuffle. The approximate
-    form keeps one sketch per column and shuffles nothing else.
+    form keeps one sketch per column and shuffles nothing else. Of an empty table
+    the exact form has no row, the approximate one zeros and no ratio.
     """
     fields = df.schema.fields
     if approximate:
         sketches = [
-            (F.approx_count_distinct(_as_text(f)) + F.max(F.col(f.name).isNull().cast("int"))).alias(f.name)
+            (F.approx_count_distinct(_as_text(f)) + F.coalesce(F.max(F.col(f.name).isNull().cast("int")), F.lit(0))).alias(f.name)
             for f in fields
         ]
         wide = df.agg(F.count("*").alias("_rows"), *sketches)
@@ -47,7 +48,7 @@ def column_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
             .groupBy("column_name")
             .agg(F.count("*").alias("n_unique"), F.sum("copies").alias("n_rows"))
         )
-    return profile.withColumn("unique_ratio", F.col("n_unique") / F.col("n_rows"))
+    return profile.withColumn("unique_ratio", F.try_divide("n_unique", "n_rows"))
 
 
 def table_checks(df: DataFrame, **conditions: Column) -> DataFrame:

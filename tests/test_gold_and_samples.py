@@ -68,6 +68,12 @@ def test_profile_counts_null_as_a_value(spark):
     assert profile[0].unique_ratio == pytest.approx(2 / 3)
 
 
+def test_profile_of_an_empty_table(spark):
+    empty = spark.createDataFrame([], "a int, b string")
+    assert column_profile(empty).count() == 0
+    assert sorted(map(tuple, column_profile(empty, True).collect())) == [("a", 0, 0, None), ("b", 0, 0, None)]
+
+
 def test_table_checks_and_values(spark):
     df = spark.createDataFrame([(1, None), (5, None)], "a int, b int")
     row = table_checks(df, small=F.col("a") < 3, known=F.col("b") > 0).first()
