@@ -13,7 +13,7 @@ def op7_langid(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")
     held_out = fold(F.col("doc_id"), 4) == 2
     chain = train(docs, ~held_out)
-    return label(docs, chain).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "runs")
+    return label(docs, chain).select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score", "runs")
 
 
 QUERIES = {"op7_langid": op7_langid}
