@@ -23,6 +23,7 @@ from meterline.operators import lineage, schema
 from meterline.operators.clean import BROKEN, clean, drop_copies, drop_copies_by_digest, quarantine_split, reject_report
 from meterline.plans.column_origins import column_edges
 from meterline.operators.joins import decode_by_join, duplicate_keys, fits_broadcast, join_zones, orphan_keys, star_join, star_split
+from meterline.operators.ordered import kept
 from meterline.operators.profile import column_profile, columns_with_values, output_statistics, table_checks
 from meterline.operators.sample import preview, top_per_group
 from meterline.operators.union import union_by_name
@@ -682,7 +683,7 @@ def run_failures(spark, folder):
 
 @query
 def run_log_validity(spark, folder):
-    log = _order_log(spark, folder).select("run_id", "event_time", "seq", "event_type", "job_namespace")
+    log = kept(_order_log(spark, folder).select("run_id", "event_time", "seq", "event_type", "job_namespace"), "log")
     late = log.filter((F.col("job_namespace") == "run_steps") & (F.col("event_type") == "COMPLETE")).withColumns(
         {"event_type": F.lit("RUNNING"), "seq": F.col("seq") + 1}
     )

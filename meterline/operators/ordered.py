@@ -7,6 +7,9 @@ what crosses a chunk border is carried over, at most a few rows per chunk.
 
 The chunked rows are written to the shared scratch folder once: both passes
 then see the same chunks, also after a lost executor.
+
+Where no key is large there is nothing to cut: rows are counted by hashes of
+their keys first, and if no hash has too many, a window per key does.
 """
 
 from __future__ import annotations
@@ -16,9 +19,31 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterline.session import partitions_for, scratch_path
+from meterline.session import only_scans, partitions_for, scratch_path
 
 CHUNK = "_chunk"
+#: Keys are counted by so many hashes a partition, and keys of so few rows are never cut.
+HASHES, FEW_ROWS = 16, 10_000
+
+
+def kept(df: DataFrame, label: str) -> DataFrame:
+    """A frame that is read more than once: written to scratch unless it is a scan already."""
+    if only_scans(df):
+        return df
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def has_large_keys(df: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether some key may have more than half of a partition's even share of the rows.
+
+    A key has at most as many rows as its hash; what is counted is a row per hash and task.
+    """
+    n = partitions_for(df)
+    counts = df.groupBy(F.pmod(F.xxhash64(*keys), F.lit(HASHES * max(n, 256))).alias("hash")).count()
+    seen = counts.agg(F.sum("count").alias("rows"), F.max("count").alias("most")).first()
+    return (seen["most"] or 0) > max(FEW_ROWS, (seen["rows"] or 0) / n / 2)
 
 
 def cut_in_order(
@@ -44,7 +69,15 @@ def previous_in_order(
     values: dict[str, str],
     chunks: int | None = None,
 ) -> DataFrame:
-    """For each new name in ``values``, the named column in the key's previous row."""
+    """For each new name in ``values``, the named column in the key's previous row.
+
+    Large keys are cut into chunks, and all keys are if ``chunks`` says how many.
+    """
+    if chunks is None:
+        df = kept(df, "to-order")
+        if not has_large_keys(df, keys):
+            along = Window.partitionBy(*keys).orderBy(*order)
+            return df.withColumns({new: F.lag(source).over(along) for new, source in values.items()})
     cut = cut_in_order(df, keys, order, chunks)
     row = F.struct(
         F.struct(*keys).alias("key"), *(F.col(source).alias(new) for new, source in values.items())

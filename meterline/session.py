@@ -70,6 +70,17 @@ def input_bytes(df: DataFrame) -> int | None:
     return None if any(size >= KNOWN_SIZE for size in sizes) else sum(sizes)
 
 
+def only_scans(df: DataFrame) -> bool:
+    """Whether a frame is made of columns and filters of scans alone, so that reading it again costs no more than the scans."""
+    nodes = [df._jdf.queryExecution().optimizedPlan()]
+    for node in nodes:
+        children = node.children()
+        if children.size() and node.nodeName() not in ("Project", "Filter", "Union"):
+            return False
+        nodes += [children.apply(k) for k in range(children.size())]
+    return True
+
+
 def partitions_for(df: DataFrame, partition_bytes: int = 128 * 1024 * 1024, most: int = 100_000) -> int:
     """Partitions for a shuffle of the frame: what the session says, or more if the input asks for it."""
     size = input_bytes(df) or 0

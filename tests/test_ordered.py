@@ -72,3 +72,26 @@ def test_chunks_follow_the_size_of_the_input(spark, tmp_path):
     assert partitions_for(df, size // 40) >= 40 and partitions_for(df) == 4
     assert partitions_for(df, 1, most=77) == 77
     assert partitions_for(spark.createDataFrame([(1,)], "id int")) == 4
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_only_large_keys_are_cut(spark, hot):
+    n, key = 30_000, F.lit(1) if hot else F.col("id") % 10_000
+    df = spark.range(n, numPartitions=3).select(key.alias("k"), F.col("id").alias("i"), F.expr("id % 7").alias("v"))
+    got = previous_in_order(df, ["k"], ["i"], {"before": "v"})
+    assert ("RepartitionByExpression" in got._jdf.queryExecution().optimizedPlan().toString() or CHUNK in got._jdf.queryExecution().optimizedPlan().toString()) == hot
+    step = 1 if hot else 10_000
+    assert got.filter(~F.col("before").eqNullSafe(F.when(F.col("i") >= step, (F.col("i") - step) % 7))).count() == 0 and got.count() == n
+
+
+def test_what_is_ordered_is_computed_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(100).selectExpr("id % 5 AS k", "id AS i", "id AS v").mapInArrow(count, "k long, i long, v long")
+    assert previous_in_order(df, ["k"], ["i"], {"before": "v"}).filter("before IS NULL").count() == 5
+    assert seen.value == 100
