@@ -2,11 +2,21 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterline.operators.columns import non_null_counts
+from meterline.operators.ordered import kept
+
+
+def _by_itself(field: T.StructField) -> Column:
+    """The column in a form that can be grouped and that parquet can hold; text only where there is no other."""
+    kind = field.dataType
+    plain = isinstance(kind, (T.NumericType, T.BooleanType, T.DateType, T.BinaryType, T.TimestampType, T.TimestampNTZType))
+    return F.col(field.name) if plain else _as_text(field)
 
 
 def _as_text(field: T.StructField) -> Column:
@@ -23,8 +33,10 @@ def _as_text(field: T.StructField) -> Column:
 def column_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
     """Per column: distinct values (NULL counts as one), rows and their ratio.
 
-    The exact form turns rows into (column, value) pairs and removes copies in
-    the map tasks first, so repeated values cost no shuffle. The approximate
+    The exact form groups each column by itself and in its own type, so that few
+    values take little memory in the map tasks beside a column of many, and
+    repeated ones cost no shuffle. It reads the frame once a column: one that is
+    more than columns and filters of scans is written to scratch first. The approximate
     form keeps one sketch per column and shuffles nothing else. Of an empty table
     the exact form has no row, the approximate one zeros and no ratio.
     """
@@ -39,15 +51,13 @@ def column_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
         longer = wide.unpivot(["_rows"], names, "column_name", "n_unique")
         profile = longer.select("column_name", "n_unique", F.col("_rows").alias("n_rows"))
     else:
-        pairs = df.select(*(_as_text(f).alias(f.name) for f in fields)).unpivot(
-            [], [f.name for f in fields], "column_name", "value"
-        )
-        profile = (
-            pairs.groupBy("column_name", "value")
-            .agg(F.count("*").alias("copies"))
-            .groupBy("column_name")
-            .agg(F.count("*").alias("n_unique"), F.sum("copies").alias("n_rows"))
-        )
+        numbered = {f.name: f"c{k}" for k, f in enumerate(fields)}
+        values = kept(df.select(*(_by_itself(f).alias(numbered[f.name]) for f in fields)), "profiled")
+        counted = [
+            values.groupBy(c).agg(F.count("*").alias("copies")).select(F.lit(name).alias("column_name"), "copies")
+            for name, c in numbered.items()
+        ]
+        profile = reduce(DataFrame.unionAll, counted).groupBy("column_name").agg(F.count("*").alias("n_unique"), F.sum("copies").alias("n_rows"))
     return profile.withColumn("unique_ratio", F.try_divide("n_unique", "n_rows"))
 
 

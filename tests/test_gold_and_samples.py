@@ -86,3 +86,14 @@ def test_output_statistics(spark, tmp_path):
     spark.range(10).repartition(3).write.parquet(str(tmp_path / "t"))
     row = output_statistics(spark, str(tmp_path / "t")).first()
     assert (row.row_count, row.n_files) == (10, 3) and row.size_bytes > 0
+
+
+def test_profile_groups_each_column_in_its_own_type(spark):
+    rows = [(1, 0.0, "a", [1]), (1, -0.0, "a", [1]), (2, float("nan"), None, None), (None, float("nan"), "b", [2])]
+    df = spark.createDataFrame(rows, "n int, x double, s string, list array<int>").withColumn("t", F.timestamp_seconds("n"))
+    want = [("list", 3, 4), ("n", 3, 4), ("s", 3, 4), ("t", 3, 4), ("x", 2, 4)]
+    for frame in (df, df.distinct().unionAll(df.limit(1)), df.select("*", F.lit(None).alias("none")).drop("none")):
+        profile = column_profile(frame)
+        assert sorted(tuple(r)[:3] for r in profile.collect()) == want
+        # No pairs of column and value: a column of many values shares its map with no other.
+        assert "Expand" not in plan(profile)
