@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterline.functions.rules import trip_rules
-from meterline.operators.clean import clean, drop_copies, drop_copies_by_digest, keep_rows, quarantine_split, reject_report
+from checks.landing import land
+from meterline.operators.clean import BROKEN, clean, drop_copies, drop_copies_by_digest, keep_rows, mark_rows, quarantine_split, reject_report, split_by_copies
 from meterline.plans.steps import Context, run_steps
 from tests.trips import NOON, green, green_row, yellow, yellow_row
 
@@ -127,3 +128,21 @@ def test_only_repeated_rows_are_shuffled(spark):
     plan = drop_copies_by_digest(df)._jdf.queryExecution().optimizedPlan().toString()
     alone = plan.split("Aggregate")[0]
     assert "Join LeftAnti" in alone and "strategy=broadcast" in alone
+
+
+def test_marked_rows_are_told_apart_by_digests(spark):
+    df = spark.range(1000).selectExpr("id % 900 AS id", "repeat('wide', 50) AS text")
+    marked = mark_rows(df, {"small": F.col("id") < 10})
+    assert marked.count() == 900 and marked.filter(F.size(BROKEN) == 0).count() == 10
+    assert "Join LeftAnti" in marked._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_landing_moves_rows_with_copies_only(spark, tmp_path):
+    copies = spark.range(40, numPartitions=4).selectExpr("id % 10 AS id", "'x' AS text")
+    df = copies.unionAll(spark.range(100, 140, 1, 4).selectExpr("id", "'y' AS text")).unionAll(copies.limit(0))
+    alone, copied = split_by_copies(df)
+    assert (alone.count(), copied.count()) == (40, 40)
+    land(df, str(tmp_path), "yellow_tripdata_2023-01")
+    landed = spark.read.parquet(str(tmp_path)).select("*", F.col("_metadata.file_name").alias("file"))
+    assert landed.count() == 80 and landed.groupBy("id").agg(F.count_distinct("file").alias("n")).filter("n > 1").count() == 0
+    assert landed.select("file").distinct().count() == len(list(tmp_path.glob("*.parquet")))
