@@ -24,7 +24,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from meterline.llm.common import texts
+from meterline.llm.common import kept_by_worker, texts
 
 #: So many words are remembered by each Python worker; words met after that are encoded each time.
 REMEMBERED = 300_000
@@ -311,16 +311,6 @@ def rank_encoder(ranks: dict[bytes, int], pattern: str) -> TextEncoder:
     return TextEncoder(encode_all)
 
 
-_encoders: dict[object, TextEncoder] = {}
-
-
-def worker_encoder(key: object, make) -> TextEncoder:
-    """One encoder per Python worker, so that the words it knows serve all tasks."""
-    if key not in _encoders:
-        _encoders[key] = make()
-    return _encoders[key]
-
-
 def id_lists(blobs: list[bytes]) -> pa.Array:
     """A list of ids for each document, from its ids' bytes."""
     offsets = np.zeros(len(blobs) + 1, dtype=np.int32)
@@ -368,7 +358,7 @@ def encode(
     shared = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_encoder(("ranks", ranks_path, pattern), lambda: rank_encoder(shared.value, pattern))
+        encoder = kept_by_worker(("ranks", ranks_path, pattern), lambda: rank_encoder(shared.value, pattern))
         table = TokenTable(shared.value) if with_decoded else None
         for batch in batches:
             for part in in_portions(batch, "text"):

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import TypeVar
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterline.session import scratch_path, ship_package, shuffle_partitions
 
+T = TypeVar("T")
+
 #: Text is cut into words at ASCII white space only.
 SPACES = r"[\x20\x09-\x0D]+"
 
@@ -33,6 +38,20 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_kept: dict[object, object] = {}
+
+
+def kept_by_worker(key: object, make: Callable[[], T]) -> T:
+    """What an operator keeps in a Python worker from task to task, so that the words it knows serve all of them.
+
+    Workers outlive the operators of a job, so only the latest one's is kept: another's is let go first.
+    """
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
 #: Spark's estimate for frames whose size it does not know is far above this.
 KNOWN_SIZE = 1 << 60
 

@@ -7,6 +7,10 @@ by a table of counts whose size is fixed, and break ties by a different hash
 each. Pairs come from shared prefix tokens of the first order and must share
 prefix tokens under every other order too, before their sets are compared.
 
+Before texts are sent to be compared, pairs go whose histograms say enough: a
+set's tokens are counted in a few buckets, and two sets differ in at least as
+many tokens as their counts do, so no link is lost by that.
+
 Groups are not expanded into pairs. Equal sets are one class. First, of all
 documents with a common prefix token, each is compared with the smallest and
 the largest id among them; documents that this links form components. Then
@@ -33,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterline.llm.bpe import in_portions
-from meterline.llm.common import block_count, stored, texts
+from meterline.llm.common import block_count, kept_by_worker, stored, texts
 from meterline.llm.components import components
 from meterline.llm.packing import numbers, packed, read, unpacked
 from meterline.operators.joins import fits_broadcast
@@ -41,11 +45,13 @@ from meterline.operators.joins import fits_broadcast
 #: The corpus counts are kept for so many groups of tokens; groups are summed in slices.
 SKETCH_BITS, SLICE_BITS = 22, 16
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+#: A set's histogram has so many buckets, and counts up to what a byte holds.
+BUCKETS, MOST = 256, 127
 #: Salts of the orders that break ties; the first one finds the pairs.
 ORDERS = (0x0, 0x5851F42D4C957F2D, 0x14057B7EF767814F)
 #: So many documents are compared with one other in a task.
 MEMBERS_A_TASK = 256
-#: Up to so many, the places that texts go to are broadcast.
+#: Up to so many, the places that texts go to, ids of candidates and members of components are broadcast.
 BROADCAST_ROUTES = 800_000
 REMEMBERED = 500_000
 #: A task packs its prefix tokens whenever it has so many; a range of tokens is made for so much input.
@@ -93,12 +99,8 @@ class Shingler:
             return np.unique(_mixed(total * MULTIPLIER))
 
 
-_shinglers: dict[int, Shingler] = {}
-
-
 def worker_shingler(words: int) -> Shingler:
-    """One per Python worker, so that the words it knows serve all tasks."""
-    return _shinglers.setdefault(words, Shingler(words))
+    return kept_by_worker(("shingler", words), lambda: Shingler(words))
 
 
 class Orders:
@@ -129,26 +131,30 @@ def _signature(tokens: np.ndarray) -> tuple[int, int]:
     return (wide >> 64) - (1 << 63), (wide & ((1 << 64) - 1)) - (1 << 63)
 
 
+def _histogram(tokens: np.ndarray) -> np.ndarray:
+    return np.minimum(np.bincount((tokens % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS), MOST).astype(np.int8)
+
+
 def _describe(docs: DataFrame, measure: Measure) -> DataFrame:
-    """A row per document with its set's size and signature; rows per task with its part of the corpus counts."""
-    layout = "doc_id bigint, n bigint, high bigint, low bigint, slice int, counts binary"
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("high", pa.int64()), ("low", pa.int64()), ("slice", pa.int32()), ("counts", pa.binary())])
+    """A row per document with its set's size, signature and histogram; rows per task with its part of the corpus counts."""
+    layout = "doc_id bigint, n bigint, high bigint, low bigint, buckets array<tinyint>, slice int, counts binary"
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("high", pa.int64()), ("low", pa.int64()), ("buckets", pa.list_(pa.int8())), ("slice", pa.int32()), ("counts", pa.binary())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle, counts = worker_shingler(measure.words), np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
         for batch in batches:
             for part in in_portions(batch, "text"):
                 sets = [shingle(text.as_py()) for text in part.column("text")]
-                groups = np.concatenate(sets) >> np.uint64(64 - SKETCH_BITS)
-                counts += np.bincount(groups.astype(np.int64), minlength=len(counts)).astype(counts.dtype)
+                groups, times = np.unique(np.concatenate(sets) >> np.uint64(64 - SKETCH_BITS), return_counts=True)
+                counts[groups] += times.astype(counts.dtype)
                 high, low = zip(*map(_signature, sets))
                 none = [None] * len(sets)
-                columns = [part.column("doc_id"), list(map(len, sets)), high, low, none, none]
+                columns = [part.column("doc_id"), list(map(len, sets)), high, low, list(map(_histogram, sets)), none, none]
                 yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(columns, schema)], schema=schema)
         if counts.any():
             slices = counts.reshape(-1, 1 << SLICE_BITS)
             none = [None] * len(slices)
-            columns = [none, none, none, none, range(len(slices)), list(map(numbers, slices))]
+            columns = [none, none, none, none, none, range(len(slices)), list(map(numbers, slices))]
             yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(columns, schema)], schema=schema)
 
     return docs.mapInArrow(run, layout)
@@ -245,6 +251,29 @@ def _can_link(n: Column, at: Column, other_n: Column, other_at: Column, percent:
     return (F.least(n, other_n) * 100 >= F.greatest(n, other_n) * percent) & (F.least(n - at, other_n - other_at) >= needed)
 
 
+def _small(rows: DataFrame) -> DataFrame:
+    """The rows, to be broadcast if they are measured to be few."""
+    return F.broadcast(rows) if fits_broadcast(rows, BROADCAST_ROUTES) else rows
+
+
+def _near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (hub, member) whose histograms do not differ in more tokens than linked sets may."""
+
+    pairs = stored(pairs, "candidates")
+    ends = pairs.select(F.explode(F.array("hub", "member")).alias("doc_id")).distinct()
+    some = sets.join(_small(ends), "doc_id", "left_semi")
+
+    def side(end: str) -> DataFrame:
+        return some.select(F.col("doc_id").alias(end), F.col("n").alias(f"{end}_n"), F.col("buckets").alias(f"{end}_buckets"))
+
+    both = pairs.join(side("hub"), "hub").join(side("member"), "member")
+    differences = F.zip_with("hub_buckets", "member_buckets", lambda x, y: F.abs(x.cast("int") - y.cast("int")))
+    apart = F.aggregate(differences, F.lit(0), lambda total, x: total + x)
+    # Sets of a and b tokens that share s of them differ in a + b - 2 s; linked ones have s >= percent * (a + b) / (100 + percent).
+    near = both.where(apart * (100 + percent) <= (F.col("hub_n") + F.col("member_n")) * (100 - percent))
+    return near.select("hub", "member").distinct()  # an id may have several sets
+
+
 def _verified(docs: DataFrame, pairs: DataFrame, shared, measure: Measure) -> DataFrame:
     """The links among ``pairs`` (hub, member): prefixes of all orders meet, and the sets are alike enough.
 
@@ -253,8 +282,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, shared, measure: Measure) -> Da
     dealt = pairs.select("hub", "member", F.pmod(F.xxhash64("member"), F.col("parts")).alias("part"))
     hubs = dealt.select("hub", "part").distinct().select(F.col("hub").alias("doc_id"), "hub", "part", F.lit(True).alias("is_hub"))
     routes = hubs.unionByName(dealt.select(F.col("member").alias("doc_id"), "hub", "part", F.lit(False).alias("is_hub")))
-    routes = F.broadcast(routes) if fits_broadcast(routes, BROADCAST_ROUTES) else routes
-    rows = docs.join(routes, "doc_id").select("hub", "part", "is_hub", "doc_id", "text")
+    rows = docs.join(_small(routes), "doc_id").select("hub", "part", "is_hub", "doc_id", "text")
     percent = measure.percent
 
     def compare(table: pa.Table) -> pa.Table:
@@ -285,10 +313,11 @@ def link(docs: DataFrame, measure: Measure = Measure(), id_col: str = "doc_id",
     source = every.where("doc_id IS NOT NULL")
     described = stored(_describe(every.select(F.col("doc_id").cast("bigint"), "text"), measure), "sets")
     sets = described.where("slice IS NULL").drop("slice", "counts")
+    whole = sets.where("n > 0 AND doc_id IS NOT NULL")
     shared = docs.sparkSession.sparkContext.broadcast(_corpus_levels(described))
     # equal sets, and rows with equal ids, are linked to begin with
-    classes = sets.where("n > 0 AND doc_id IS NOT NULL").groupBy("high", "low", "n").agg(F.min("doc_id").alias("first"))
-    known = sets.where("n > 0 AND doc_id IS NOT NULL").join(classes, ["high", "low", "n"]).select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
+    classes = whole.groupBy("high", "low", "n").agg(F.min("doc_id").alias("first"))
+    known = whole.join(classes, ["high", "low", "n"]).select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
     known = stored(known.where("a <> b").distinct(), "equal-sets")
     ranges = block_count(docs, RANGE_BYTES)
     placed = _prefixes(source.select(F.col("doc_id").cast("bigint"), "text"), shared, measure, ranges)
@@ -297,16 +326,16 @@ def link(docs: DataFrame, measure: Measure = Measure(), id_col: str = "doc_id",
     first = together.select("node", "n", "at", F.explode(F.array(*ends)).alias("hub")).where(F.col("hub.node") != F.col("node"))
     first = first.where(_can_link(F.col("n"), F.col("at"), F.col("hub.n"), F.col("hub.at"), measure.percent))
     first = first.select(F.col("hub.node").alias("hub"), F.col("node").alias("member")).distinct()
-    first = stored(_without(first, known), "first-pairs")
+    first = stored(_without(_near(first, whole, measure.percent), known), "first-pairs")
     links = known.unionByName(stored(_verified(source, _parts(first), shared, measure), "links"))
-    member_of = components(links)
+    member_of = _small(components(links))
     tokens = together.select("token", "node", "n", "at").join(member_of, "node", "left").withColumn("c", F.coalesce("component", "node"))
     open_tokens = tokens.groupBy("token").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x < y").select("token")
     left = stored(tokens.join(open_tokens, "token").select("token", "node", "n", "at", "c"), "open")
     right = left.select("token", F.col("node").alias("other"), F.col("n").alias("other_n"), F.col("at").alias("other_at"), F.col("c").alias("other_c"))
     apart = (F.col("c") < F.col("other_c")) & _can_link(F.col("n"), F.col("at"), F.col("other_n"), F.col("other_at"), measure.percent)
     second = left.join(right, "token").where(apart).select(F.col("node").alias("hub"), F.col("other").alias("member")).distinct()
-    second = stored(second, "second-pairs")
+    second = stored(_near(second, whole, measure.percent), "second-pairs")
     links = links.unionByName(stored(_verified(source, _parts(second), shared, measure), "links"))
     final = components(links)
     shared.unpersist()

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterline.llm.components import components
-from meterline.llm.jaccard import Measure, link
+from meterline.llm.common import kept_by_worker
+from meterline.llm.jaccard import Measure, _describe, _near, link
 
 
 def shingles(text, size):
@@ -78,3 +79,20 @@ def test_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     assert got(link(docs)) == brute([(r.doc_id, r.text) for r in docs.collect()])
     assert link(docs).where(F.col("doc_id") != F.col("component_id")).count() > 0
+
+
+def test_texts_go_only_to_pairs_whose_histograms_allow_a_link(spark):
+    rng = random.Random(5)
+    base = [str(rng.randrange(10**6)) for _ in range(400)]
+    near, far = [*base[:-20], *map(str, range(20))], [*base[:200], *(str(rng.randrange(10**6)) for _ in range(200))]
+    rows = [(1, " ".join(base)), (2, " ".join(near)), (3, " ".join(far)), (4, "one two three four five"), (4, " ".join(base))]
+    sets = _describe(spark.createDataFrame(rows, "doc_id bigint, text string"), Measure()).where("n > 0")
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (2, 3), (1, 4)], "hub bigint, member bigint")
+    assert sorted(map(tuple, _near(pairs, sets, 85).collect())) == [(1, 2), (1, 4)]
+
+
+def test_a_worker_keeps_the_latest_operator_alone():
+    first = kept_by_worker("a", list)
+    assert kept_by_worker("a", list) is first
+    kept_by_worker("b", list)
+    assert kept_by_worker("a", list) is not first
