@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,6 +39,31 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: So many bytes of rows go to a Python worker at a time; a batch lies in the JVM and in the worker at once.
+BATCH_BYTES, BATCH_CONF = 3 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def limit_batches(spark: SparkSession) -> str:
+    """From now on the session sends rows to Python in batches of ``BATCH_BYTES``, or of less if it said so; returns what it said.
+
+    Only how many rows go at a time changes; a row that is larger is a batch of its own.
+    """
+    before = spark.conf.get(BATCH_CONF)
+    most = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(before)
+    spark.conf.set(BATCH_CONF, str(min(most, BATCH_BYTES)))
+    return before
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """:func:`limit_batches` for the jobs that run meanwhile."""
+    before = limit_batches(spark)
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_CONF, before)
+
+
 _kept: dict[object, object] = {}
 
 

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterline.llm.bpe import in_portions
-from meterline.llm.common import block_count, kept_by_worker, stored, texts
+from meterline.llm.common import block_count, kept_by_worker, small_batches, stored, texts
 from meterline.llm.components import components
 from meterline.llm.packing import numbers, packed, read, unpacked
 from meterline.operators.joins import fits_broadcast
@@ -53,7 +53,7 @@ ORDERS = (0x0, 0x5851F42D4C957F2D, 0x14057B7EF767814F)
 MEMBERS_A_TASK = 256
 #: Up to so many, the places that texts go to, ids of candidates and members of components are broadcast.
 BROADCAST_ROUTES = 800_000
-REMEMBERED = 500_000
+REMEMBERED = 100_000
 #: A task packs its prefix tokens whenever it has so many; a range of tokens is made for so much input.
 FLUSHED_TOKENS, RANGE_BYTES = 1_000_000, 8 << 20
 
@@ -191,14 +191,18 @@ def _prefixes(docs: DataFrame, shared, measure: Measure, ranges: int) -> DataFra
 
         def flushed() -> pa.RecordBatch:
             sizes = [len(x) for x, _, _ in held]
+            nodes, ns = (np.array([h[k] for h in held], dtype=np.int64) for k in (1, 2))
             token = np.concatenate([x for x, _, _ in held])
+            held.clear()
             order = np.argsort(token, kind="stable")
-            at = np.concatenate([np.arange(size) for size in sizes])[order]
             token = token[order]
-            node, n = (np.repeat(np.array([h[k] for h in held], dtype=np.int64), sizes)[order] for k in (1, 2))
+            # Whose a token is and its place take 32 bits each; ids are looked up range by range, so that little lies in memory at once.
+            at = np.concatenate([np.arange(size, dtype=np.int32) for size in sizes])[order]
+            whose = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[order]
+            del order
             cuts = [0, *np.searchsorted(token, borders).tolist(), len(token)]
-            rows = [(k, packed(token[a:b]), node[a:b].tobytes(), numbers(n[a:b]), numbers(at[a:b])) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
-            held.clear()
+            spans = [(k, slice(a, b)) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
+            rows = [(k, packed(token[s]), nodes[whose[s]].tobytes(), numbers(ns[whose[s]]), numbers(at[s])) for k, s in spans]
             return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), *[pa.binary()] * 4))], PACKED)
 
         count = 0
@@ -309,17 +313,20 @@ def _verified(docs: DataFrame, pairs: DataFrame, shared, measure: Measure) -> Da
 
 def link(docs: DataFrame, measure: Measure = Measure(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id``, the smallest id reachable by links, for every row."""
-    every = texts(docs, id_col, text_col)
+    with small_batches(docs.sparkSession):
+        return _linked(texts(docs, id_col, text_col), measure, block_count(docs, RANGE_BYTES))
+
+
+def _linked(every: DataFrame, measure: Measure, ranges: int) -> DataFrame:
     source = every.where("doc_id IS NOT NULL")
     described = stored(_describe(every.select(F.col("doc_id").cast("bigint"), "text"), measure), "sets")
     sets = described.where("slice IS NULL").drop("slice", "counts")
     whole = sets.where("n > 0 AND doc_id IS NOT NULL")
-    shared = docs.sparkSession.sparkContext.broadcast(_corpus_levels(described))
+    shared = every.sparkSession.sparkContext.broadcast(_corpus_levels(described))
     # equal sets, and rows with equal ids, are linked to begin with
     classes = whole.groupBy("high", "low", "n").agg(F.min("doc_id").alias("first"))
     known = whole.join(classes, ["high", "low", "n"]).select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
     known = stored(known.where("a <> b").distinct(), "equal-sets")
-    ranges = block_count(docs, RANGE_BYTES)
     placed = _prefixes(source.select(F.col("doc_id").cast("bigint"), "text"), shared, measure, ranges)
     together = stored(placed.groupBy("range").applyInArrow(_meeting, ", ".join(f"{c} bigint" for c in MEETING)), "meeting")
     ends = [F.struct(F.col(e).alias("node"), F.col(f"{e}_n").alias("n"), F.col(f"{e}_at").alias("at")) for e in ("low", "high")]

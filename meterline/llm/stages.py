@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from meterline.llm import decontaminate, jaccard
 from meterline.llm.bpe import encode
-from meterline.llm.common import read_table, stored
+from meterline.llm.common import limit_batches, read_table, small_batches, stored
 from meterline.llm.queries_bpe import RANKS, digests
 from meterline.llm.queries_quality import ACCEPTED, folds
 from meterline.llm.quality import fit_and_score
@@ -35,10 +35,11 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Every row goes or stays by its own text, whatever other rows have its id or have none.
     """
     _, learn, calibrate = folds()
-    scored = fit_and_score(docs, read_table(spark, sf_dir, "labels"), "quality", learn, calibrate)
-    rejected = scored.where(F.col("score") < ACCEPTED).select("doc_id", "text_hash").distinct()
     hashed = docs.withColumn("text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-    return _without(hashed, rejected, "doc_id", "text_hash").select(*DOCUMENT)
+    with small_batches(spark):
+        scored = fit_and_score(docs, read_table(spark, sf_dir, "labels"), "quality", learn, calibrate)
+        rejected = scored.where(F.col("score") < ACCEPTED).select("doc_id", "text_hash").distinct()
+        return _without(hashed, rejected, "doc_id", "text_hash").select(*DOCUMENT)
 
 
 def _without(docs: DataFrame, keys: DataFrame, *names: str) -> DataFrame:
@@ -89,5 +90,9 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document's number of token ids, and digests of the ids and of what they decode to."""
+    """Each document's number of token ids, and digests of the ids and of what they decode to.
+
+    The session's batches stay limited, as the caller runs the job.
+    """
+    limit_batches(spark)
     return digests(encode(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, with_decoded=True))

@@ -2,11 +2,13 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from meterline.llm.components import components
-from meterline.llm.common import kept_by_worker
+from meterline.llm import jaccard
+from meterline.llm.common import BATCH_BYTES, BATCH_CONF, kept_by_worker, small_batches
 from meterline.llm.jaccard import Measure, _describe, _near, link
 
 
@@ -96,3 +98,19 @@ def test_a_worker_keeps_the_latest_operator_alone():
     assert kept_by_worker("a", list) is first
     kept_by_worker("b", list)
     assert kept_by_worker("a", list) is not first
+
+
+def test_rows_go_to_python_in_small_batches(spark, monkeypatch):
+    seen, before = [], spark.conf.get(BATCH_CONF)
+    monkeypatch.setattr(jaccard, "_linked", lambda every, *_: seen.append(every.sparkSession.conf.get(BATCH_CONF)))
+    link(spark.createDataFrame([], "doc_id long, text string"))
+    assert seen == [str(BATCH_BYTES)] and spark.conf.get(BATCH_CONF) == before
+    wide = spark.range(0, 100, 1, 1).selectExpr("repeat('x', 100000) AS text")
+    sizes = lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches)
+    with small_batches(spark):
+        rows = [r.n for r in wide.mapInArrow(sizes, "n bigint").collect()]
+    assert sum(rows) == 100 and max(rows) <= BATCH_BYTES // 100_000 + 1
+    spark.conf.set(BATCH_CONF, "1k")
+    with small_batches(spark):  # what the session says is not raised
+        assert spark.conf.get(BATCH_CONF) == "1024"
+    spark.conf.set(BATCH_CONF, before)
