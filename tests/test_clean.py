@@ -7,7 +7,9 @@ from meterline.functions.rules import trip_rules
 from checks.landing import land
 from meterline.operators.clean import BROKEN, clean, drop_copies, drop_copies_by_digest, keep_rows, mark_rows, quarantine_split, reject_report, split_by_copies
 from meterline.plans.steps import Context, run_steps
-from tests.trips import NOON, green, green_row, yellow, yellow_row
+from meterline.plans.trips import run_pipeline
+from meterline.sources.files import list_files
+from tests.trips import NOON, green, green_row, yellow, yellow_row, zones
 
 CONFORM = ["snake_names", "canonical_names", "tag_origin", "cast_types"]
 
@@ -146,3 +148,16 @@ def test_landing_moves_rows_with_copies_only(spark, tmp_path):
     landed = spark.read.parquet(str(tmp_path)).select("*", F.col("_metadata.file_name").alias("file"))
     assert landed.count() == 80 and landed.groupBy("id").agg(F.count_distinct("file").alias("n")).filter("n > 1").count() == 0
     assert landed.select("file").distinct().count() == len(list(tmp_path.glob("*.parquet")))
+
+
+def test_landed_copies_have_no_file_to_themselves(spark, tmp_path):
+    """Two equal rows, which cleaning drops, would make a file that keeps no row and so breaks the contract."""
+    good = [yellow_row(fare_amount=float(i)) for i in range(1, 3000)]
+    bad = yellow_row(passenger_count=9.0)
+    land(yellow(spark, *good, bad, bad), str(tmp_path / "landed"), "yellow_tripdata_2023-01")
+    files = list_files(spark, f"{tmp_path}/landed/*.parquet")
+    per_file = spark.read.parquet(*files).groupBy(F.col("_metadata.file_name"), (F.col("passenger_count") == 9).alias("bad")).count().collect()
+    assert sum(r["count"] for r in per_file) == 3001 and [r["count"] for r in per_file if r.bad] == [2]
+    assert {r.file_name for r in per_file if r.bad} <= {r.file_name for r in per_file if not r.bad}
+    trips = run_pipeline(spark, files, zone_lookup=zones(spark))
+    assert trips.count() == 2999
