@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from meterline.functions.rules import trip_rules
 from checks.landing import land
-from meterline.operators.clean import BROKEN, clean, drop_copies, drop_copies_by_digest, keep_rows, mark_rows, quarantine_split, reject_report, split_by_copies
+from meterline.operators.clean import BROKEN, clean, drop_copies, drop_copies_by_digest, keep_rows, mark_rows, quarantine_split, reject_report, row_digest, split_by_copies
 from meterline.plans.steps import Context, run_steps
 from meterline.plans.trips import run_pipeline
 from meterline.sources.files import list_files
@@ -161,3 +161,9 @@ def test_landed_copies_have_no_file_to_themselves(spark, tmp_path):
     assert {r.file_name for r in per_file if r.bad} <= {r.file_name for r in per_file if not r.bad}
     trips = run_pipeline(spark, files, zone_lookup=zones(spark))
     assert trips.count() == 2999
+
+
+def test_digests_tell_nulls_apart_by_their_place_in_wide_rows(spark):
+    wide = spark.range(40).select(*(F.when(F.col("id") != k, 1).alias(f"c{k}") for k in range(40)))
+    assert drop_copies_by_digest(wide).count() == 40
+    assert wide.select(row_digest(wide.columns).alias("d")).distinct().count() == 40
